@@ -30,13 +30,36 @@ def comparable_pairs(df: DataFrame) -> list[tuple[str, str]]:
     return [(a, b) for a, b in combinations(df.columns, 2) if kinds[a] == kinds[b]]
 
 
+# A few rows refute most pairs before the table is read for the rest.
+PROBE_ROWS = 1000
+
+
+def unrefuted(df: DataFrame, pairs: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Pairs that no probe row shows to differ.
+
+    One differing row proves a pair unequal, so nothing is decided wrongly
+    here; what remains is compared over all rows.
+    """
+    open_pairs = set(pairs)
+    for row in df.limit(PROBE_ROWS).collect():
+        value = row.asDict(recursive=True)
+        open_pairs -= {
+            (a, b)
+            for a, b in open_pairs
+            if value[a] is not None and value[b] is not None and value[a] != value[b]
+            # NaN differs from itself here but not in Spark.
+            and value[a] == value[a] and value[b] == value[b]
+        }
+    return [pair for pair in pairs if pair in open_pairs]
+
+
 def duplicate_columns(df: DataFrame, require_overlap: bool = False) -> list[str]:
     """Columns equal to an earlier one wherever both have a value.
 
     Two columns never filled in the same row count as equal unless
     ``require_overlap``. Empty columns only pair with other empty columns.
     """
-    pairs = comparable_pairs(df)
+    pairs = unrefuted(df, comparable_pairs(df))
     filled = [F.count(c).alias(f"filled_{i}") for i, c in enumerate(df.columns)]
     same = [
         F.coalesce(F.bool_and(F.col(a) == F.col(b)), F.lit(not require_overlap)).alias(f"same_{i}")

@@ -17,6 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def facts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table that later steps multiply or group.
+
+    A file too small to give every core a split is handed out once; a table
+    with enough splits is read as it lies.
+    """
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations with their region: 25 rows at every scale, hence the broadcast."""
     nation = table(spark, sf_dir, "nation")
@@ -31,7 +42,7 @@ def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     with the data and are left to the size-checked choice of the planner and
     to the splitting of hot join partitions at run time.
     """
-    line = table(spark, sf_dir, "lineitem")
+    line = facts(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     part = table(spark, sf_dir, "part")
     supplier = table(spark, sf_dir, "supplier")
@@ -120,7 +131,7 @@ def listing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     Lists are absent, empty, single or double depending on the order's own
     columns; every list is built from its row, never gathered across rows.
     """
-    orders = table(spark, sf_dir, "orders")
+    orders = facts(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         F.broadcast(places(spark, sf_dir)), customer.c_nationkey == F.col("n_nationkey")
@@ -154,7 +165,7 @@ DOCUMENT_FIELDS = {
         "concat('\"', date_format(timestampadd(SECOND, cast(floor(o_totalprice) as int), o_orderdate), "
         "\"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\"), '\"')"
     ),
-    "start_time": "unix_millis(cast(o_orderdate as timestamp))",
+    "start_time": "unix_millis(cast(o_orderdate as timestamp)) + 10 * cast(floor(o_totalprice) as bigint)",
     "stop_time": (
         "CASE WHEN o_totalprice < 20000 THEN 'open end' ELSE "
         "date_format(timestampadd(DAY, 60, o_orderdate), 'yyyy-MM-dd HH:mm:ss') END"
@@ -167,9 +178,9 @@ DOCUMENT_FIELDS = {
     "descriptions": "array(concat('D', o_orderkey))",
     "permalink": "concat('item/', o_orderkey)",
     "thumbnail": "concat('thumb/', o_orderkey)",
-    "seller_address": "named_struct('country', named_struct('id', r_name, 'name', r_name), "
+    "seller_address": "named_struct('country', named_struct('id', r_name, 'name', concat(r_name, ' land')), "
     "'state', named_struct('id', n_name, 'name', n_name), "
-    "'city', named_struct('id', c_mktsegment, 'name', CASE WHEN c_acctbal < 500 THEN 'N/A' ELSE "
+    "'city', named_struct('id', c_mktsegment, 'name', CASE WHEN c_acctbal < 0 THEN 'N/A' ELSE "
     "concat(n_name, ' ', c_mktsegment) END))",
     "shipping": "named_struct('local_pick_up', c_acctbal > 4000, 'free_shipping', o_totalprice > 350000, "
     "'mode', CASE WHEN o_orderstatus = 'O' THEN 'me2' ELSE 'not_specified' END, 'free_methods', "
@@ -202,3 +213,54 @@ DOCUMENT_FIELDS = {
     "named_struct('id', concat('P', o_orderkey, 'b'), 'url', 'u/b', 'size', '200x200')) "
     "ELSE array(named_struct('id', concat('P', o_orderkey, 'a'), 'url', 'u/a', 'size', '500x500')) END",
 }
+
+
+DOCUMENT_SQL = """docs AS (
+  SELECT 'L' || o_orderkey::varchar AS id,
+    '  Lot ' || c_mktsegment || ' ' || o_orderpriority || chr(9) AS title,
+    CASE WHEN o_orderstatus = 'F' THEN 'Used' WHEN o_totalprice > 250000 THEN 'New' ELSE ' new ' END AS condition,
+    o_totalprice AS base_price, floor(o_totalprice / 1000)::bigint AS initial_quantity,
+    floor(o_totalprice / 9000)::bigint AS sold_quantity,
+    floor(o_totalprice / 1000)::bigint - floor(o_totalprice / 9000)::bigint AS available_quantity,
+    o_custkey AS seller_id, r_name AS site_id, c_mktsegment AS category_id,
+    CASE WHEN o_totalprice > 480000 THEN 'USD' ELSE 'ARS' END AS currency_id,
+    o_orderpriority AS listing_type_id,
+    CASE WHEN o_orderstatus = 'P' THEN 'auction' ELSE 'buy_it_now' END AS buying_mode,
+    CASE WHEN o_totalprice > 400000 THEN 'Paused' ELSE 'active' END AS status,
+    c_acctbal > 0 AS accepts_mercadopago, o_totalprice > 300000 AS automatic_relist,
+    o_orderdate AS date_created, o_orderdate + to_seconds(floor(o_totalprice)::bigint) AS last_updated,
+    o_orderdate + to_milliseconds(10 * floor(o_totalprice)::bigint) AS start_time,
+    CASE WHEN o_totalprice >= 20000 THEN o_orderdate + INTERVAL 60 DAY END AS stop_time,
+    CASE WHEN o_orderstatus = 'P' THEN 'suspended,' || o_orderpriority WHEN o_orderstatus = 'O' THEN '' END AS sub_status,
+    CASE WHEN o_totalprice > 300000 THEN 'D1,D2' ELSE '' END AS deal_ids,
+    c_mktsegment || ',dragged' AS tags, 'D' || o_orderkey::varchar AS descriptions,
+    r_name || ' land' AS country, n_name AS state,
+    CASE WHEN c_acctbal < 0 THEN 'N/A' ELSE n_name || ' ' || c_mktsegment END AS city,
+    c_acctbal > 4000 AS local_pick_up, o_totalprice > 350000 AS free_shipping,
+    CASE WHEN o_orderstatus = 'O' THEN 'me2' ELSE 'not_specified' END AS shipping_mode,
+    CASE WHEN o_totalprice > 350000 THEN [{id: 73328::bigint, free_mode: 'country'}] END AS free_methods,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN ['CASH', 'WIRE'] WHEN o_orderpriority = '3-MEDIUM' THEN ['CASH'] END AS payments,
+    CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN
+      [{id: 1::bigint, combinations: ['C', 'S']}, {id: 2::bigint, combinations: ['C']}] END AS variations,
+    CASE WHEN o_orderstatus = 'O' THEN [
+        {id: c_mktsegment, name: 'Brand', group_id: 'MAIN', group_name: 'Principal', value: r_name},
+        {id: 'SEASON', name: 'Season', group_id: 'DFLT', group_name: 'Other', value: 'null'}]
+      WHEN o_totalprice > 60000 THEN [
+        {id: c_mktsegment, name: 'Brand', group_id: 'MAIN', group_name: 'Principal', value: r_name}] END AS attributes,
+    CASE WHEN o_totalprice > 100000 THEN ['a', 'b'] ELSE ['a'] END AS pictures
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  JOIN region ON n_regionkey = r_regionkey
+)"""
+
+
+def unnest_sql(column: str, alias: str) -> str:
+    """Unnest that keeps rows without elements."""
+    return f"unnest(CASE WHEN len({column}) > 0 THEN {column} ELSE [NULL] END) AS {alias}"
+
+
+FLAT_SQL = f"""flat_1 AS (SELECT *, {unnest_sql("payments", "payment")} FROM docs),
+flat_2 AS (SELECT *, {unnest_sql("variations", "variation")} FROM flat_1),
+flat_3 AS (SELECT *, {unnest_sql("attributes", "attribute")} FROM flat_2),
+flat_4 AS (SELECT *, {unnest_sql("pictures", "picture")} FROM flat_3),
+flat_5 AS (SELECT *, {unnest_sql("free_methods", "free_method")} FROM flat_4),
+flat AS (SELECT *, {unnest_sql("variation.combinations", "combination")} FROM flat_5)"""

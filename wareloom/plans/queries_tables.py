@@ -32,8 +32,8 @@ for _level, _key in B.LEVELS.items():
     @query(
         f"b4_{_level}_table",
         with_listing(
-            f"SELECT {_key}, condition, title, round(unit_price, 6) AS unit_price, total_quantity, "
-            "last_updated, date_created, start_time, stop_time, round(total_amount, 6) AS total_amount FROM entity",
+            f"SELECT {_key}, condition, title, round(unit_price, 4) AS unit_price, total_quantity, "
+            "last_updated, date_created, start_time, stop_time, round(total_amount, 4) AS total_amount FROM entity",
             entity_part(_key),
         ),
     )
@@ -188,7 +188,7 @@ def _value_counts(spark, sf_dir):
 @query(
     "a9_value_shares",
     with_listing(
-        "SELECT state, count(*) AS n, round(count(*) / (SELECT count(state) FROM listing), 6) AS share "
+        "SELECT state, count(*) AS n, round(count(*) / (SELECT count(state) FROM listing), 4) AS share "
         "FROM listing WHERE state IS NOT NULL GROUP BY 1"
     ),
 )
@@ -203,7 +203,7 @@ STAT_COLUMNS = ["price", "sold_quantity", "initial_quantity", "available_quantit
     "a10_stats_by_target",
     with_listing(
         " UNION ALL ".join(
-            f"SELECT '{c}' AS variable, target, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
+            f"SELECT '{c}' AS variable, target, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, "
             f"count({c}) AS n, count(DISTINCT {c}) AS n_unique FROM listing GROUP BY target"
             for c in STAT_COLUMNS
         )
@@ -215,10 +215,10 @@ def _grouped_stats(spark, sf_dir):
 
 @query(
     "a11_scalar_aggregates",
-    """SELECT round(avg(l_extendedprice), 6) AS mean, round(stddev_samp(l_extendedprice), 6) AS std,
+    """SELECT round(avg(l_extendedprice), 4) AS mean, round(stddev_samp(l_extendedprice), 4) AS std,
        min(l_extendedprice) AS low, max(l_extendedprice) AS high,
-       round(quantile_cont(l_extendedprice, 0.5), 6) AS median,
-       round(quantile_cont(l_extendedprice, 0.9), 6) AS q90 FROM lineitem""",
+       round(quantile_cont(l_extendedprice, 0.5), 4) AS median,
+       round(quantile_cont(l_extendedprice, 0.9), 4) AS q90 FROM lineitem""",
 )
 def _scalars(spark, sf_dir):
     line = table(spark, sf_dir, "lineitem")
@@ -305,7 +305,7 @@ def _weekdays(spark, sf_dir):
     with_listing(
         "SELECT * FROM (UNPIVOT (SELECT "
         + ", ".join(
-            f"round(avg(({c} IS NULL)::int), 6) AS {c}"
+            f"round(avg(({c} IS NULL)::int), 4) AS {c}"
             for c in ["state", "city", "attribute_group_id", "attribute_id", "stop_time", "price"]
         )
         + " FROM listing) ON COLUMNS(*) INTO NAME variable VALUE ratio)"
@@ -322,8 +322,8 @@ def _missing(spark, sf_dir):
     "r4_transposed_stats",
     with_listing(
         " UNION ALL ".join(
-            f"SELECT '{c}' AS variable, round(avg({c}) FILTER (target = 'new'), 6) AS mean_new, "
-            f"round(avg({c}) FILTER (target = 'used'), 6) AS mean_used FROM listing"
+            f"SELECT '{c}' AS variable, round(avg({c}) FILTER (target = 'new'), 4) AS mean_new, "
+            f"round(avg({c}) FILTER (target = 'used'), 4) AS mean_used FROM listing"
             for c in STAT_COLUMNS
         )
     ),
@@ -358,7 +358,7 @@ def _repeated_lines(spark, sf_dir):
 @query(
     "o1_ordered_by_amount",
     with_listing(
-        "SELECT product_id, round(total_amount, 6) AS total_amount FROM entity ORDER BY total_amount DESC NULLS FIRST",
+        "SELECT product_id, round(total_amount, 4) AS total_amount FROM entity ORDER BY total_amount DESC NULLS FIRST",
         entity_part("product_id"),
     ),
 )
@@ -367,7 +367,7 @@ def _ordered(spark, sf_dir):
 
 
 TOP_SQL = with_listing(
-    "SELECT product_id, title, round(total_amount, 6) AS total_amount FROM entity "
+    "SELECT product_id, title, round(total_amount, 4) AS total_amount FROM entity "
     "ORDER BY entity.total_amount DESC NULLS FIRST, product_id LIMIT 10",
     entity_part("product_id"),
 )
@@ -412,7 +412,7 @@ def _first(spark, sf_dir):
 
 @query(
     "o6_ordered_shares",
-    "SELECT event_type, count(*) AS n, round(count(*) / (SELECT count(*) FROM events), 6) AS share "
+    "SELECT event_type, count(*) AS n, round(count(*) / (SELECT count(*) FROM events), 4) AS share "
     "FROM events GROUP BY 1 ORDER BY n DESC",
 )
 def _ordered_shares(spark, sf_dir):
@@ -435,9 +435,9 @@ def _distinct(spark, sf_dir):
 @query(
     "d1_derived_columns",
     with_listing(
-        """SELECT product_id, seller_id, round(price * sold_quantity, 6) AS amount,
-        round(date_sub('second', date_created, last_updated) / 3600.0, 6) AS date_difference_hr,
-        round(date_sub('second', start_time, stop_time) / 3600.0, 6) AS time_difference_hr FROM listing"""
+        """SELECT product_id, seller_id, round(price * sold_quantity, 4) AS amount,
+        round(date_sub('second', date_created, last_updated) / 3600.0, 4) AS date_difference_hr,
+        round(date_sub('second', start_time, stop_time) / 3600.0, 4) AS time_difference_hr FROM listing"""
     ),
 )
 def _derived(spark, sf_dir):
@@ -490,7 +490,7 @@ def share_sql() -> str:
     parts = [entity_part(key, f"by_{level}") for level, key in B.LEVELS.items()]
     body = " UNION ALL ".join(
         f"SELECT '{level}' AS level, condition, count(*) AS n, "
-        f"round(count(*) / (SELECT count(*) FROM by_{level}), 6) AS share FROM by_{level} GROUP BY condition"
+        f"round(count(*) / (SELECT count(*) FROM by_{level}), 4) AS share FROM by_{level} GROUP BY condition"
         for level in B.LEVELS
     )
     return with_listing(body, *parts)
@@ -504,8 +504,8 @@ def _shares(spark, sf_dir):
 @query(
     "b6_log_amounts",
     with_listing(
-        "SELECT product_id, condition, round(total_amount, 6) AS total_amount, "
-        "round(CASE WHEN total_amount > 0 THEN ln(total_amount) END, 6) AS log_amount FROM entity",
+        "SELECT product_id, condition, round(total_amount, 4) AS total_amount, "
+        "round(CASE WHEN total_amount > 0 THEN ln(total_amount) END, 4) AS log_amount FROM entity",
         entity_part("product_id"),
     ),
 )
@@ -522,8 +522,8 @@ grid AS (
   SELECT {by}, total, width, point, low - 3 * width + point * ((high - low + 6 * width) / {points - 1}) AS x
   FROM spans, (SELECT unnest(range({points}))::int AS point)),
 density AS (
-  SELECT g.{by}, point, round(x, 6) AS x,
-    round(sum(exp(-pow((x - value) / width, 2) / 2)) / any_value(total * width * sqrt(2 * pi())), 6) AS density
+  SELECT g.{by}, point, round(x, 4) AS x,
+    round(sum(exp(-pow((x - value) / width, 2) / 2)) / any_value(total * width * sqrt(2 * pi())), 4) AS density
   FROM grid g JOIN {values} v ON g.{by} = v.{by} GROUP BY g.{by}, point, x)"""
 
 
@@ -610,7 +610,7 @@ def _projection(spark, sf_dir):
 @query(
     "k7_null_predicates",
     with_listing(
-        "SELECT target, round(avg((state IS NULL)::int), 6) AS null_ratio, count(*) FILTER (state IS NOT NULL) AS n_filled "
+        "SELECT target, round(avg((state IS NULL)::int), 4) AS null_ratio, count(*) FILTER (state IS NOT NULL) AS n_filled "
         "FROM listing GROUP BY 1"
     ),
 )

@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
+def rounded(df: DataFrame, places: int = 4) -> DataFrame:
     """Doubles rounded, so that the order of summation does not show."""
     return df.select(
         *[

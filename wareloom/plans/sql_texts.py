@@ -52,6 +52,6 @@ def stored_columns(key: str) -> str:
     """Columns of the stored entity table, doubles rounded."""
     modal = ", ".join(MODAL_COLUMNS.values())
     return (
-        f"{key}, {modal}, stock_quantity, available_quantity, round(total_amount, 6) AS total_amount, "
-        "round(date_difference_hr, 6) AS date_difference_hr, round(time_difference_hr, 6) AS time_difference_hr"
+        f"{key}, {modal}, stock_quantity, available_quantity, round(total_amount, 4) AS total_amount, "
+        "round(date_difference_hr, 4) AS date_difference_hr, round(time_difference_hr, 4) AS time_difference_hr"
     )
