@@ -188,12 +188,12 @@ def _value_counts(spark, sf_dir):
 @query(
     "a9_value_shares",
     with_listing(
-        "SELECT state, count(*) AS n, round(count(*) / (SELECT count(state) FROM listing), 4) AS share "
+        "SELECT state, count(*) AS n, round(count(*) / (SELECT count(state) FROM listing), 10) AS share "
         "FROM listing WHERE state IS NOT NULL GROUP BY 1"
     ),
 )
 def _value_shares(spark, sf_dir):
-    return rounded(C.value_counts(listing_rows(spark, sf_dir), "state", normalize=True))
+    return rounded(C.value_counts(listing_rows(spark, sf_dir), "state", normalize=True), 10)
 
 
 STAT_COLUMNS = ["price", "sold_quantity", "initial_quantity", "available_quantity"]
@@ -412,12 +412,12 @@ def _first(spark, sf_dir):
 
 @query(
     "o6_ordered_shares",
-    "SELECT event_type, count(*) AS n, round(count(*) / (SELECT count(*) FROM events), 4) AS share "
+    "SELECT event_type, count(*) AS n, round(count(*) / (SELECT count(*) FROM events), 10) AS share "
     "FROM events GROUP BY 1 ORDER BY n DESC",
 )
 def _ordered_shares(spark, sf_dir):
     shares = C.value_counts(table(spark, sf_dir, "events"), "event_type", normalize=True)
-    return rounded(shares.orderBy(F.col("share").desc(), "event_type"))
+    return rounded(shares.orderBy(F.col("share").desc(), "event_type"), 10)
 
 
 @query(
@@ -490,7 +490,7 @@ def share_sql() -> str:
     parts = [entity_part(key, f"by_{level}") for level, key in B.LEVELS.items()]
     body = " UNION ALL ".join(
         f"SELECT '{level}' AS level, condition, count(*) AS n, "
-        f"round(count(*) / (SELECT count(*) FROM by_{level}), 4) AS share FROM by_{level} GROUP BY condition"
+        f"round(count(*) / (SELECT count(*) FROM by_{level}), 10) AS share FROM by_{level} GROUP BY condition"
         for level in B.LEVELS
     )
     return with_listing(body, *parts)
@@ -498,7 +498,7 @@ def share_sql() -> str:
 
 @query("b5_condition_shares", share_sql())
 def _shares(spark, sf_dir):
-    return rounded(B.condition_shares(listing_rows(spark, sf_dir)))
+    return rounded(B.condition_shares(listing_rows(spark, sf_dir)), 10)
 
 
 @query(
