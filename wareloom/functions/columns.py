@@ -11,12 +11,18 @@ from wareloom.schema import NULL_TOKENS, WEEKDAY_LABELS
 STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 CLOCK_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
+# Fixed value: the characters Unicode counts as white space.
+WHITESPACE = (
+    "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 DIGITS_ONE_DOT = r"^([0-9]+\.?[0-9]*|\.[0-9]+)\z"
 
 
 def strip(c: Column) -> Column:
-    """Remove any surrounding whitespace (``trim`` would only remove spaces)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Remove any surrounding whitespace (plain ``trim`` would only remove spaces)."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def strip_lower(c: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wareloom.operators.ranks import exact_quantiles, value_counts_long
+from wareloom.operators.ranks import exact_quantiles, quantiles_of, ranked_values
 
 
 def long_stats(counts: DataFrame, by: list[str]) -> DataFrame:
@@ -81,7 +81,7 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 25) -> DataFrame:
 
     A constant column gets a range of one around its value.
     """
-    counts = value_counts_long(df, columns)
+    counts = ranked_values(df, columns)
     stats = basic_stats(df, columns).where("n > 0")
     flat = F.col("high") == F.col("low")
     spans = stats.select(
@@ -96,7 +96,7 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 25) -> DataFrame:
         .groupBy("variable", F.least(position, F.lit(bins - 1)).cast("int").alias("bin"))
         .agg(F.sum("n").alias("n"))
     )
-    medians = exact_quantiles(df, columns, [0.5])
+    medians = quantiles_of(counts, [0.5])
     frame = spans.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = F.col("span") / bins
     return (
@@ -177,7 +177,8 @@ def density(counts: DataFrame, by: list[str], points: int = 200, cut: float = 3.
 
 def box_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges and the outliers beyond."""
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).select(
+    counts = ranked_values(df, columns)
+    quartiles = quantiles_of(counts, [0.25, 0.5, 0.75]).select(
         "variable", F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3")
     )
     fences = quartiles.withColumns(
@@ -189,8 +190,7 @@ def box_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     x = F.col("value")
     inside = (x >= F.col("fence_low")) & (x <= F.col("fence_high"))
     return (
-        value_counts_long(df, columns)
-        .join(F.broadcast(fences), "variable")
+        counts.join(F.broadcast(fences), "variable")
         .groupBy("variable", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, x)).alias("whisker_low"),

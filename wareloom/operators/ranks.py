@@ -58,40 +58,45 @@ def value_counts_long(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def ranked_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(variable, value, n, cum) of numeric columns, read from one written table."""
+    return running_totals(value_counts_long(df, columns), ["variable"], ["value"], {"cum": "n"})
+
+
+def with_totals(ranked: DataFrame) -> DataFrame:
+    sizes = ranked.groupBy("variable").agg(F.max("cum").alias("total"))
+    return ranked.join(F.broadcast(sizes), "variable")
+
+
 def empirical_cdf(df: DataFrame, columns: list[str]) -> DataFrame:
     """(variable, value, n, cum, share) over the distinct values of each column."""
-    cum = running_totals(value_counts_long(df, columns), ["variable"], ["value"], {"cum": "n"})
-    sizes = cum.groupBy("variable").agg(F.max("cum").alias("total"))
-    return cum.join(F.broadcast(sizes), "variable").select(
+    return with_totals(ranked_values(df, columns)).select(
         "variable", "value", "n", "cum", (F.col("cum") / F.col("total")).alias("share")
     )
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> DataFrame:
-    """One row per column with ``q_0 .. q_k``: linear interpolation, exact.
-
-    ``percentile`` would gather all distinct values of a column in one task.
-    """
-    cum = running_totals(value_counts_long(df, columns), ["variable"], ["value"], {"cum": "n"})
-    sizes = cum.groupBy("variable").agg(F.max("cum").alias("total"))
-    sized = cum.join(F.broadcast(sizes), "variable")
+def quantiles_of(ranked: DataFrame, shares: list[float]) -> DataFrame:
+    """One row per variable with ``q_0 .. q_k``: linear interpolation, exact."""
 
     def value_at(position: Column) -> Column:
         return F.min(F.when(F.col("cum") > position, F.col("value")))
 
+    positions = [F.lit(float(share)) * (F.col("total") - 1) for share in shares]
     picks = []
-    for i, share in enumerate(shares):
-        position = F.lit(float(share)) * (F.col("total") - 1)
+    for i, position in enumerate(positions):
         picks += [
             value_at(F.floor(position)).alias(f"lo_{i}"),
             value_at(F.ceil(position)).alias(f"hi_{i}"),
         ]
-    found = sized.groupBy("variable", "total").agg(*picks)
-    columns_out = []
-    for i, share in enumerate(shares):
-        position = F.lit(float(share)) * (F.col("total") - 1)
-        part = position - F.floor(position)
-        columns_out.append(
-            (F.col(f"lo_{i}") + (F.col(f"hi_{i}") - F.col(f"lo_{i}")) * part).alias(f"q_{i}")
-        )
-    return found.select("variable", *columns_out)
+    found = with_totals(ranked).groupBy("variable", "total").agg(*picks)
+    between = [
+        (F.col(f"lo_{i}") + (F.col(f"hi_{i}") - F.col(f"lo_{i}")) * (p - F.floor(p))).alias(f"q_{i}")
+        for i, p in enumerate(positions)
+    ]
+    return found.select("variable", *between)
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> DataFrame:
+    """Exact quantiles of columns; ``percentile`` would gather every distinct
+    value of a column in one task."""
+    return quantiles_of(ranked_values(df, columns), shares)

@@ -29,9 +29,10 @@ KEY, TARGET = "product_id", "condition"
 QUICK = replace(BoostingParams(), rounds=8, max_depth=4)
 
 
-def products(spark, sf_dir):
+def products(spark, sf_dir, modes=None):
     """The stored product table, written once for the many fits that follow."""
-    return materialize(entity_aggregate(listing_rows(spark, sf_dir), KEY, ordered=False), "products")
+    rows = entity_aggregate(listing_rows(spark, sf_dir), KEY, ordered=False, modes=modes)
+    return materialize(rows, "products")
 
 
 PRODUCTS_SQL = entity_part(KEY)
@@ -63,7 +64,7 @@ SPLIT_SQL = ",\n".join(
 
 @query("l1_stratified_split", with_products("SELECT product_id, condition, split FROM parted", SPLIT_SQL))
 def _split(spark, sf_dir):
-    rows = products(spark, sf_dir).select(KEY, TARGET)
+    rows = products(spark, sf_dir, [TARGET]).select(KEY, TARGET)
     return L.StratifiedSplit(target=TARGET, key=KEY, seed=25).fit(rows).transform(rows)
 
 
@@ -72,7 +73,7 @@ def _split(spark, sf_dir):
     with_products("SELECT product_id, CASE condition WHEN 'new' THEN 0.0 WHEN 'used' THEN 1.0 END::double AS label FROM entity"),
 )
 def _label(spark, sf_dir):
-    rows = products(spark, sf_dir).select(KEY, TARGET)
+    rows = products(spark, sf_dir, [TARGET]).select(KEY, TARGET)
     return L.EncodeLabel(target=TARGET).fit(rows).transform(rows).select(KEY, "label")
 
 
@@ -83,7 +84,7 @@ def _label(spark, sf_dir):
     ),
 )
 def _weight(spark, sf_dir):
-    rows = products(spark, sf_dir).select(KEY, TARGET)
+    rows = products(spark, sf_dir, [TARGET]).select(KEY, TARGET)
     labelled = L.EncodeLabel(target=TARGET).fit(rows).transform(rows)
     return rounded(L.ClassWeights().fit(labelled).transform(labelled).select(KEY, "weight"))
 
@@ -93,7 +94,7 @@ def _weight(spark, sf_dir):
     with_products("SELECT split, count(*) AS n FROM parted WHERE split IN ('train', 'val') GROUP BY 1", SPLIT_SQL),
 )
 def _train_val(spark, sf_dir):
-    rows = products(spark, sf_dir).select(KEY, TARGET)
+    rows = products(spark, sf_dir, [TARGET]).select(KEY, TARGET)
     parted = L.StratifiedSplit(target=TARGET, key=KEY, seed=25).fit(rows).transform(rows)
     return parted.where(F.col("split").isin("train", "val")).groupBy("split").agg(F.count("*").alias("n"))
 
@@ -107,7 +108,7 @@ def _train_val(spark, sf_dir):
     ),
 )
 def _folds(spark, sf_dir):
-    rows = products(spark, sf_dir).select(KEY, TARGET)
+    rows = products(spark, sf_dir, [TARGET]).select(KEY, TARGET)
     folded = L.StratifiedFolds(target=TARGET, key=KEY, folds=5, seed=25).fit(rows).transform(rows)
     return folded.select(KEY, "fold")
 
@@ -137,7 +138,7 @@ MODAL_SHARE_SQL = " UNION ALL ".join(
 
 @query("v2_modal_shares", with_products(MODAL_SHARE_SQL))
 def _modal_shares(spark, sf_dir):
-    return rounded(V.modal_shares(products(spark, sf_dir), WATCHED), 10)
+    return rounded(V.modal_shares(products(spark, sf_dir, WATCHED), WATCHED), 10)
 
 
 @query(
@@ -145,7 +146,7 @@ def _modal_shares(spark, sf_dir):
     with_products(f"SELECT variable AS column_name FROM ({MODAL_SHARE_SQL}) WHERE share >= 0.95"),
 )
 def _quasi_constant(spark, sf_dir):
-    fitted = V.DropQuasiConstant(columns=WATCHED, tol=0.95).fit(products(spark, sf_dir))
+    fitted = V.DropQuasiConstant(columns=WATCHED, tol=0.95).fit(products(spark, sf_dir, WATCHED))
     return spark.createDataFrame([(c,) for c in fitted.option("columns")], "column_name string")
 
 
@@ -168,7 +169,7 @@ def _matched(spark, sf_dir):
     ),
 )
 def _correlated(spark, sf_dir):
-    rows = products(spark, sf_dir).withColumn("total_amount_twice", 2 * F.col("total_amount") + 1)
+    rows = products(spark, sf_dir, []).withColumn("total_amount_twice", 2 * F.col("total_amount") + 1)
     columns = ["total_amount_twice", "total_amount", "stock_quantity", "available_quantity"]
     fitted = V.DropCorrelated(columns=columns, threshold=0.8).fit(rows)
     return spark.createDataFrame([(c,) for c in fitted.option("columns")], "column_name string")
@@ -183,7 +184,7 @@ def _correlated(spark, sf_dir):
     ),
 )
 def _matched_categories(spark, sf_dir):
-    rows = products(spark, sf_dir).select(KEY, TARGET, "attribute_id")
+    rows = products(spark, sf_dir, [TARGET, "attribute_id"]).select(KEY, TARGET, "attribute_id")
     parted = L.StratifiedSplit(target=TARGET, key=KEY, seed=25).fit(rows).transform(rows)
     fitted = V.MatchCategories(columns=["attribute_id"]).fit(W.training_rows(parted))
     return fitted.transform(parted).select(KEY, "attribute_id")
@@ -210,7 +211,7 @@ def _selection(spark, sf_dir):
     ),
 )
 def _imputed(spark, sf_dir):
-    rows = products(spark, sf_dir).select(KEY, "attribute_group")
+    rows = products(spark, sf_dir, ["attribute_group"]).select(KEY, "attribute_group")
     fitted = E.RandomSampleImpute(columns=["attribute_group"], key=KEY, seed=25).fit(rows)
     return fitted.transform(rows)
 
@@ -226,7 +227,7 @@ def _imputed(spark, sf_dir):
     ),
 )
 def _imputed_many(spark, sf_dir):
-    rows = products(spark, sf_dir).select(KEY, "attribute_id")
+    rows = products(spark, sf_dir, ["attribute_id"]).select(KEY, "attribute_id")
     fitted = E.RandomSampleImpute(columns=["attribute_id"], key=KEY, seed=25).fit(rows)
     return fitted.transform(rows)
 
@@ -248,7 +249,7 @@ def rare_sql(c: str, few: int, source: str = "entity") -> str:
 )
 def _rare(spark, sf_dir):
     columns = ["state", "listing_type", "local_pickup"]
-    rows = products(spark, sf_dir).select(KEY, *columns)
+    rows = products(spark, sf_dir, columns).select(KEY, *columns)
     return E.RareLabels(columns=columns, tol=0.05, n_categories=2).fit(rows).transform(rows)
 
 
@@ -266,7 +267,7 @@ def binned_sql(c: str, source: str) -> str:
     with_products("SELECT product_id, " + ", ".join(f"{binned_sql(c, 'entity')} AS {c}" for c in BINNED) + " FROM entity"),
 )
 def _binned(spark, sf_dir):
-    rows = products(spark, sf_dir).select(KEY, *BINNED)
+    rows = products(spark, sf_dir, []).select(KEY, *BINNED)
     return E.GeometricBins(columns=BINNED, bins=8).fit(rows).transform(rows)
 
 
@@ -285,7 +286,7 @@ LABELLED_SQL = "labelled AS (SELECT *, (condition = 'used')::int::double AS labe
 
 
 def labelled(spark, sf_dir):
-    return products(spark, sf_dir).withColumn("label", (F.col(TARGET) == "used").cast("double"))
+    return products(spark, sf_dir, [TARGET, *CODED]).withColumn("label", (F.col(TARGET) == "used").cast("double"))
 
 
 @query("e4_ordered_codes", with_products(" UNION ALL ".join(code_sql(c, "labelled") for c in CODED), LABELLED_SQL))
@@ -535,7 +536,7 @@ def _run_log(spark, sf_dir):
 )
 def _saved_lists(spark, sf_dir):
     """Fitted values travel with the saved stage, not in a settings file."""
-    rows = products(spark, sf_dir).select(KEY, *BINNED)
+    rows = products(spark, sf_dir, []).select(KEY, *BINNED)
     path = new_path(spark, "fitted")
     E.GeometricBins(columns=BINNED, bins=8).fit(rows).save(path)
     return E.CutBins.load(path).transform(rows)
@@ -555,5 +556,5 @@ def _saved_model(spark, sf_dir):
     with_products("SELECT product_id, local_pickup::varchar AS local_pickup, free_shipping::varchar AS free_shipping FROM entity"),
 )
 def _flag_features(spark, sf_dir):
-    rows = products(spark, sf_dir).select(KEY, "local_pickup", "free_shipping")
+    rows = products(spark, sf_dir, ["local_pickup", "free_shipping"]).select(KEY, "local_pickup", "free_shipping")
     return FlagsToText().transform(rows)

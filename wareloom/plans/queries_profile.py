@@ -10,7 +10,7 @@ from wareloom.operators import association as A
 from wareloom.operators import counts as C
 from wareloom.operators import profile as P
 from wareloom.operators.ranks import empirical_cdf, value_counts_long
-from wareloom.plans.driver_tables import listing_rows, table
+from wareloom.plans.driver_tables import facts, listing_rows, table
 from wareloom.plans.queries_tables import density_sql
 from wareloom.plans.registry import query, rounded
 from wareloom.plans.sql_texts import with_listing
@@ -19,7 +19,7 @@ NUMBERS = ["l_quantity", "l_extendedprice", "l_discount"]
 
 
 def line(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select(*NUMBERS)
+    return facts(spark, sf_dir, "lineitem").select(*NUMBERS)
 
 
 def each(template: str, columns=NUMBERS, glue: str = " UNION ALL ") -> str:

@@ -10,7 +10,7 @@ from wareloom.operators.entity import entity_aggregate, group_modes
 from wareloom.operators.profile import basic_stats
 from wareloom.operators.ranks import exact_quantiles
 from wareloom.plans import business as B
-from wareloom.plans.driver_tables import listing_rows, places, table
+from wareloom.plans.driver_tables import facts, listing_rows, places, table
 from wareloom.plans.registry import query, rounded
 from wareloom.plans.sql_texts import entity_part, stored_columns, with_listing
 from wareloom.schema import TIME_COLUMNS, WEEKDAY_LABELS, WEEKDAYS
@@ -221,7 +221,7 @@ def _grouped_stats(spark, sf_dir):
        round(quantile_cont(l_extendedprice, 0.9), 4) AS q90 FROM lineitem""",
 )
 def _scalars(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem")
+    line = facts(spark, sf_dir, "lineitem").select("l_extendedprice")
     stats = basic_stats(line, ["l_extendedprice"]).drop("n")
     quantiles = exact_quantiles(line, ["l_extendedprice"], [0.5, 0.9])
     return rounded(

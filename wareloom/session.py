@@ -14,6 +14,11 @@ SQL_DEFAULTS = {
     # Split a hot join partition even when the aggregate above needs one more
     # shuffle: cheaper than a single task holding a third of the table.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Cleaning projects dozens of text columns at once. A generated method above
+    # 8000 bytes is never compiled by HotSpot, so let such a projection be split.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Look null tokens up in a set instead of comparing one by one.
+    "spark.sql.optimizer.inSetConversionThreshold": "4",
 }
 
 
