@@ -133,6 +133,21 @@ def test_rare_labels(spark):
     assert [tuple(r) for r in out.collect()] == [("Rare", "Rare"), (None, None), ("b", "x")]
 
 
+def test_absent_columns_leave_the_frame_alone(spark):
+    df = spark.createDataFrame([(1, 1.0)], "id int, label double")
+    stages = [
+        E.RandomSampleImpute(columns=["c"], key="id"),
+        E.RareLabels(columns=["c"]),
+        E.GeometricBins(columns=["c"]),
+        E.TargetOrder(columns=["c"], label="label"),
+        V.MatchCategories(skip=["id"]),
+        V.DropQuasiConstant(columns=["c"]),
+        V.DropCorrelated(columns=["c"]),
+    ]
+    for stage in stages:
+        assert stage.fit(df).transform(df).collect() == df.collect()
+
+
 def test_bins_are_closed_on_the_right(spark):
     edges = E.geometric_edges(0.0, 256.0, 8)
     assert edges == [2.0, 4.0, 8.0, 16.0, 32.0, 64.0, 128.0]

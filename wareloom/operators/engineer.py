@@ -37,6 +37,8 @@ class RandomSampleImpute(Decision):
 
     def _fit(self, df: DataFrame) -> Step:
         columns = [c for c in self.option("columns") if c in df.columns]
+        if not columns:
+            return DrawValues(columns=[])
         cum = running_totals(level_counts(df, columns), ["variable"], ["value"], {"cum": "n"})
         sizes = cum.groupBy("variable").agg(F.max("cum").alias("total"))
         ranges = cum.join(F.broadcast(sizes), "variable").select(
@@ -100,6 +102,8 @@ class RareLabels(Decision):
     def _fit(self, df: DataFrame) -> Step:
         columns = [c for c in self.option("columns") if c in df.columns]
         tol, few = self.option("tol", 0.05), self.option("n_categories", 10)
+        if not columns:
+            return GroupRare(frequent={})
         counts = level_counts(df, columns)
         totals = counts.groupBy("variable").agg(
             F.sum("n").alias("total"), F.count("*").alias("n_levels")
@@ -192,6 +196,8 @@ class TargetOrder(Decision):
 
     def _fit(self, df: DataFrame) -> Step:
         columns = [c for c in self.option("columns") if c in df.columns]
+        if not columns:
+            return ApplyCodes(columns=[])
         codes = ordered_codes(df, columns, self.option("label", "label"))
         levels = freeze_levels(codes.select("variable", "value", "n", "code"), "codes")
         return ApplyCodes(columns=columns, levels=levels)

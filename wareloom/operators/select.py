@@ -93,6 +93,8 @@ class MatchCategories(Decision):
             for f in df.schema.fields
             if isinstance(f.dataType, T.StringType) and f.name not in skip
         ]
+        if not columns:
+            return KnownCategories(columns=[])
         seen = (
             df.select(*columns)
             .unpivot([], columns, "variable", "value")

@@ -309,6 +309,40 @@ def _encoded(spark, sf_dir):
     return E.TargetOrder(columns=CODED, label="label").fit(rows).transform(rows).select(KEY, *CODED)
 
 
+CHAIN = ["state", "listing_type", "stock_quantity"]
+CHAIN_SQL = [
+    SPLIT_SQL,
+    "base AS (SELECT e.product_id, state, listing_type, stock_quantity, split, (e.condition = 'used')::int::double AS label, "
+    "('0x' || substr(md5('25:state:' || e.product_id::varchar), 1, 13))::bigint / pow(16, 13) AS u "
+    "FROM entity e JOIN parted p USING (product_id))",
+    "shares AS (SELECT state AS value, sum(count(*)) OVER (ORDER BY state) / sum(count(*)) OVER () AS high "
+    "FROM base WHERE split = 'train' AND state IS NOT NULL GROUP BY 1)",
+    "filled AS (SELECT * EXCLUDE (state), coalesce(state, (SELECT min(value) FROM shares WHERE u < high)) AS state FROM base)",
+    "filled_train AS (SELECT * FROM filled WHERE split = 'train')",
+    f"grouped AS (SELECT product_id, split, label, {rare_sql('state', 2, 'filled_train')} AS state, "
+    f"{rare_sql('listing_type', 2, 'filled_train')} AS listing_type, "
+    f"{binned_sql('stock_quantity', 'filled_train')}::varchar AS stock_quantity FROM filled)",
+    "grouped_train AS (SELECT * FROM grouped WHERE split = 'train')",
+    *[f"codes_{c} AS ({code_sql(c, 'grouped_train')})" for c in CHAIN],
+]
+
+
+@query(
+    "e5_engineering_chain",
+    with_products(
+        "SELECT product_id, split, "
+        + ", ".join(f"(SELECT code FROM codes_{c} WHERE value = {c}) AS {c}" for c in CHAIN)
+        + " FROM grouped",
+        *CHAIN_SQL,
+    ),
+)
+def _chain(spark, sf_dir):
+    rows = products(spark, sf_dir, [TARGET, "state", "listing_type"]).select(KEY, TARGET, *CHAIN)
+    labelled_rows = W.split_and_label(rows, KEY, TARGET)
+    pipeline, _ = W.engineering_pipeline(W.training_rows(labelled_rows), KEY, TARGET)
+    return W.fit_on_train(pipeline, labelled_rows)[1].select(KEY, "split", *CHAIN)
+
+
 @query("e5_engineered_matrix")
 def _engineered(spark, sf_dir):
     return W.prepare_matrix(products(spark, sf_dir), KEY, TARGET)[3]

@@ -33,10 +33,15 @@ def training_rows(df: DataFrame) -> DataFrame:
 
 
 def split_and_label(df: DataFrame, key: str, target: str, seed: int = 25) -> DataFrame:
-    """Adds ``split`` and ``label``; written once because every fit reads it."""
-    parted = StratifiedSplit(target=target, key=key, seed=seed).fit(df).transform(df)
-    labelled = EncodeLabel(target=target).fit(training_rows(parted)).transform(parted)
-    return materialize(labelled, "labelled")
+    """Adds ``split`` and ``label``; written once because every fit reads it.
+
+    The passes that find the cuts read a written copy of two columns, so an
+    expensive ``df`` is evaluated twice and not once per pass.
+    """
+    narrow = materialize(df.select(key, target), "classes")
+    splitter = StratifiedSplit(target=target, key=key, seed=seed).fit(narrow)
+    encoder = EncodeLabel(target=target).fit(training_rows(splitter.transform(narrow)))
+    return materialize(encoder.transform(splitter.transform(df)), "labelled")
 
 
 def selection_pipeline(train_rows: DataFrame, key: str, target: str, settings: Settings = Settings()) -> Pipeline:
