@@ -1,3 +1,6 @@
+import contextlib
+import io
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -6,7 +9,7 @@ import __spark_entry__ as entry
 from check_queries import compare, connect
 from wareloom.operators.clean import DistinctRows
 from wareloom.plans.driver_tables import listing_documents
-from wareloom.plans.preprocessing import preprocess
+from wareloom.plans.preprocessing import cluster_documents, preprocess, preprocessing_stages
 from wareloom.sources.listings import write_listings
 from wareloom.streaming.apply import apply_stages, read_listing_stream, row_stages
 
@@ -46,6 +49,34 @@ def test_fitted_stages_save_load_and_freeze_the_schema(spark, tmp_path):
     assert few.columns == table.columns
 
 
+def test_hot_id_takes_the_other_path_with_the_same_result(spark, monkeypatch):
+    docs = listing_documents(spark, SF)
+    copies = docs.where("id = 'L1'").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(700)))).drop("copy")
+    many = docs.unionByName(copies)
+    assert "REPARTITION_BY_COL" in plan_of(cluster_documents(docs))
+    assert "REPARTITION_BY_COL" not in plan_of(cluster_documents(many))
+    _, once = preprocess(docs)
+    _, hot = preprocess(many)
+    assert hot.exceptAll(once).count() == 0 and hot.count() == once.count()
+
+
+def plan_of(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue()
+
+
+def test_distinct_of_clustered_documents_moves_no_exploded_rows(spark):
+    docs = cluster_documents(listing_documents(spark, SF))
+    rows = docs
+    for stage in preprocessing_stages()[:3]:
+        rows = stage.transform(rows)
+    lines = plan_of(rows.dropDuplicates()).splitlines()
+    generate = max(i for i, line in enumerate(lines) if "HashAggregate" in line)
+    assert not any("Exchange" in line for line in lines[:generate])
+
+
 def test_row_stages_run_on_a_stream(spark, tmp_path):
     docs = listing_documents(spark, SF)
     fitted, _ = preprocess(docs, key=None)

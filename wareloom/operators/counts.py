@@ -186,8 +186,7 @@ def weekday_counts(df: DataFrame, columns: list[str] = TIME_COLUMNS) -> DataFram
     )
     days = all_weekdays(df, columns)
     return (
-        F.broadcast(days)
-        .join(counts, ["time_column", "label"], "left")
+        days.join(counts, ["time_column", "label"], "left")
         .select("time_column", "label", "position", F.coalesce("n", F.lit(0)).alias("n"))
         .orderBy("time_column", "position")
     )
@@ -210,6 +209,4 @@ def weekday_hours(df: DataFrame, columns: list[str] = TIME_COLUMNS) -> DataFrame
     )
     named = counts.select("time_column", "weekday", *[F.col(str(h)).alias(f"h{h:02d}") for h in hours])
     days = all_weekdays(df, columns).drop("label")
-    return (
-        F.broadcast(days).join(named, ["time_column", "weekday"], "left").orderBy("time_column", "position")
-    )
+    return days.join(named, ["time_column", "weekday"], "left").orderBy("time_column", "position")
