@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wareloom.llm import quality_rules
+from wareloom.llm import html_text, line_crf, quality_rules
 from wareloom.llm.common import read_table
 
 ORACLES: dict[str, str] = {}
@@ -14,6 +15,25 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.extract_pages(read_table(spark, sf_dir, "pages"))
+    return pages.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    scored = line_crf.score_documents(docs, line_crf.train(docs, labels))
+    return scored.select(
+        "doc_id",
+        (line_crf.fold(F.col("doc_id")) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op6_quality_rules": op6_quality_rules,
+    "op9_html_text": op9_html_text,
+    "op10_quality_classifier": op10_quality_classifier,
 }
