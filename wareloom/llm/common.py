@@ -2,19 +2,41 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wareloom.sources.store import materialize, new_path
 
-__all__ = ["SPACE", "WORD", "free_names", "let", "lower_ascii", "materialize", "new_path", "read_table", "words"]
+__all__ = [
+    "SPACE",
+    "WORD",
+    "free_names",
+    "importable",
+    "let",
+    "lower_ascii",
+    "materialize",
+    "new_path",
+    "read_table",
+    "words",
+]
 
-# The six ASCII white-space characters, and what is a word between them.
+# Runs of the six ASCII white-space characters, and what is a word between them.
 BLANKS = " \t\n\x0b\f\r"
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Lets Python workers find this package where it is not installed but lies at the same place."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if root not in known:
+        env["PYTHONPATH"] = ":".join([*known, root])
+    return spark
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -26,7 +48,7 @@ def lower_ascii(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Runs of anything but ASCII white space; null has none."""
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
 def let(value: Column, body) -> Column:

@@ -5,11 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wareloom.llm import html_text, line_crf, quality_rules
-from wareloom.llm.common import read_table
+from wareloom.llm import html_text, line_crf, packing, quality_rules, separator_scan
+from wareloom.llm.common import importable, read_table
 
 ORACLES: dict[str, str] = {}
 
+VOCABULARY = "word_bpe_49k.json"
+END_OF_TEXT = 49407
+
+
+def vocabulary_path(name: str = VOCABULARY) -> str:
+    """Place of a public vocabulary file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    blocks = separator_scan.token_blocks(docs, vocabulary_path(), END_OF_TEXT)
+    counted = separator_scan.count_tokens(separator_scan.write_blocks(blocks), END_OF_TEXT)
+    return counted.where("closed").select("doc_id", "file", "ordinal", "start", "n_tokens")
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, vocabulary_path(), payload=F.crc32("ids").alias("ids_crc32"))
+
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -32,8 +54,17 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {
-    "op6_quality_rules": op6_quality_rules,
-    "op9_html_text": op9_html_text,
-    "op10_quality_classifier": op10_quality_classifier,
-}
+OPERATORS = (
+    op1_separator_scan,
+    op4_best_fit_packing,
+    op6_quality_rules,
+    op9_html_text,
+    op10_quality_classifier,
+)
+
+
+def prepared(run):
+    return lambda spark, sf_dir: run(importable(spark), sf_dir)
+
+
+QUERIES = {run.__name__: prepared(run) for run in OPERATORS}
