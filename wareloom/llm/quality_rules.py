@@ -19,16 +19,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wareloom.llm.common import BLANKS, WORD, let, materialize, words
+from wareloom.llm.common import WORD, free_names, let, materialize, words
 
 SAMPLE_ROWS = 2000
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
+# A blank-separated bar, as in flattened tables.
+BAR = " | "
 
 
 def char_count(text: Column, chars: str) -> Column:
-    """How many characters of ``text`` are in ``chars``."""
-    return (F.char_length(text) - F.char_length(F.translate(text, chars, ""))).cast("long")
+    """How many characters of ``text`` are in the class ``chars``."""
+    return F.regexp_count(text, F.lit(f"[{chars}]")).cast("long")
 
 
 def filled_lines(text: Column) -> Column:
@@ -86,21 +88,28 @@ def covered_words(hashes: Column) -> Column:
     return let(hashes, count)
 
 
-def measures(text: Column) -> dict[str, Column]:
-    """The counts over a whole text that the base rules use."""
-    text = F.coalesce(text, F.lit(""))
-    counted = let(
-        words(text),
-        lambda w: F.struct(
-            F.size(w).cast("long").alias("n_words"), covered_words(window_hashes(w)).alias("n_repeat_words")
-        ),
-    )
-    return {
-        "counted": counted,
-        "word_chars": (F.char_length(text) - char_count(text, BLANKS)).cast("long"),
-        "n_symbols": char_count(text, SYMBOLS),
-        "n_dup_lines": duplicate_lines(text),
-    }
+def word_count(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(WORD)).cast("long")
+
+
+def repeats_next(tokens: Column) -> Column:
+    """Words that the next word repeats."""
+    same = F.filter(tokens, lambda w, i: w == F.get(tokens, i + 1))
+    return F.size(same).cast("long")
+
+
+#: What rules look at, as expressions over a text that is not null.
+MEASURES: dict[str, Callable[[Column], Column]] = {
+    "n_words": word_count,
+    "word_chars": lambda t: char_count(t, r"^\x20\x09-\x0D"),
+    "n_symbols": lambda t: char_count(t, SYMBOLS),
+    "n_bars": lambda t: ((F.char_length(t) - F.char_length(F.replace(t, F.lit(BAR), F.lit("")))) / len(BAR)).cast("long"),
+    "n_shouted": lambda t: F.regexp_count(t, F.lit(r"\p{Lu}{2,}+")).cast("long"),
+    "n_lines": lambda t: F.size(filled_lines(t)).cast("long"),
+    "n_dup_lines": duplicate_lines,
+    "n_repeat_words": lambda t: let(words(t), lambda w: covered_words(window_hashes(w))),
+    "n_stutter": lambda t: let(words(t), repeats_next),
+}
 
 
 def fails_base(n_words: Column, n_repeat_words: Column) -> Column:
@@ -109,52 +118,38 @@ def fails_base(n_words: Column, n_repeat_words: Column) -> Column:
 
 @dataclass(frozen=True)
 class Rule:
-    """``rejects`` maps the text column to a boolean that is never null."""
+    """``rejects`` maps a lookup of measures by name to a boolean."""
 
     name: str
-    rejects: Callable[[Column], Column]
+    rejects: Callable[[Callable[[str], Column]], Column]
 
 
-def word_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(WORD))
-
-
-#: Share of a text's words that a rule tolerates: symbols per word, bars, shouted words.
 BASE_RULES = (
-    Rule("few_words", lambda t: word_count(t) < 10),
-    Rule(
-        "repeated_words",
-        lambda t: let(words(t), lambda w: 100 * covered_words(window_hashes(w)) > 20 * F.size(w)),
-    ),
+    Rule("few_words", lambda m: m("n_words") < 10),
+    Rule("repeated_words", lambda m: 100 * m("n_repeat_words") > 20 * m("n_words")),
 )
+# Fixed limits, in hundredths of a text's words or lines.
 EXTRA_RULES = (
-    Rule("symbols", lambda t: 100 * char_count(t, SYMBOLS) > 50 * word_count(t)),
-    Rule(
-        "list_bars",
-        lambda t: 100 * F.regexp_count(t, F.lit(r"(?<![^\x20\x09-\x0D])\|(?![^\x20\x09-\x0D])")) > 10 * word_count(t),
-    ),
-    Rule(
-        "shouting",
-        lambda t: 100 * F.regexp_count(t, F.lit(r"(?<!\p{L})\p{Lu}{2,}+(?!\p{L})")) > 40 * word_count(t),
-    ),
-    Rule(
-        "repeated_lines",
-        lambda t: let(filled_lines(t), lambda x: 100 * (F.size(x) - F.size(F.array_distinct(x))) > 50 * F.size(x)),
-    ),
+    Rule("symbols", lambda m: 100 * m("n_symbols") > 50 * m("n_words")),
+    Rule("list_bars", lambda m: 100 * m("n_bars") > 10 * m("n_words")),
+    Rule("shouting", lambda m: 100 * m("n_shouted") > 40 * m("n_words")),
+    Rule("repeated_lines", lambda m: 100 * m("n_dup_lines") > 50 * m("n_lines")),
     Rule(
         "word_length",
-        lambda t: (F.char_length(t) - char_count(t, BLANKS) < 2 * word_count(t))
-        | (F.char_length(t) - char_count(t, BLANKS) > 20 * word_count(t)),
+        lambda m: (m("word_chars") < 2 * m("n_words")) | (m("word_chars") > 20 * m("n_words")),
     ),
-    Rule("stuttering", lambda t: 100 * F.regexp_count(t, F.lit(STUTTER)) > 40 * word_count(t)),
+    Rule("stuttering", lambda m: 100 * m("n_stutter") > 40 * m("n_words")),
 )
-#: A word that the next word repeats.
-STUTTER = r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)(?=[\x20\x09-\x0D]+\1(?![^\x20\x09-\x0D]))"
 RULES = BASE_RULES + EXTRA_RULES
 
 
-def rejects(rule: Rule, text: Column) -> Column:
-    return F.coalesce(rule.rejects(F.coalesce(text, F.lit(""))), F.lit(False))
+def lookup(text: Column, known: dict[str, Column]) -> Callable[[str], Column]:
+    """Measures by name: the ``known`` columns, the others computed from ``text`` where a rule asks."""
+    return lambda name: known[name] if name in known else MEASURES[name](text)
+
+
+def rejects(rule: Rule, measure: Callable[[str], Column]) -> Column:
+    return F.coalesce(rule.rejects(measure), F.lit(False))
 
 
 def order_rules(docs: DataFrame, rules=RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
@@ -168,48 +163,75 @@ def order_rules(docs: DataFrame, rules=RULES, text: str = "text", sample_rows: i
     sample = materialize(
         docs.select(F.col(text).alias("text")).sample(fraction=min(1.0, sample_rows / n), seed=7), "rule-sample"
     )
+    found = sample.select("text", word_count(F.coalesce("text", F.lit(""))).alias("n_words"))
+    measure = lookup(F.coalesce("text", F.lit("")), {"n_words": F.col("n_words")})
     rate = {}
     for rule in rules:
         began = time.perf_counter()
-        hits = sample.agg(F.count_if(rejects(rule, F.col("text")))).first()[0]
+        hits = found.agg(F.count_if(rejects(rule, measure))).first()[0]
         rate[rule.name] = hits / max(time.perf_counter() - began, 1e-9)
     return sorted(rules, key=lambda r: -rate[r.name])
 
 
-def first_rejection(rules: list[Rule], text: Column) -> Column:
+def first_rejection(rules: list[Rule], measure: Callable[[str], Column]) -> Column:
     """Name of the first rule that rejects, null if none does; later rules are not evaluated."""
-    verdict = F.when(rejects(rules[0], text), F.lit(rules[0].name))
+    verdict = F.when(rejects(rules[0], measure), F.lit(rules[0].name))
     for rule in rules[1:]:
-        verdict = verdict.when(rejects(rule, text), F.lit(rule.name))
+        verdict = verdict.when(rejects(rule, measure), F.lit(rule.name))
     return verdict
 
 
 def cascade(docs: DataFrame, rules=RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` with ``rejected_by``: the rule that turned the text away, null for a text to keep."""
     ordered = order_rules(docs, rules, text, sample_rows)
-    return docs.withColumn("rejected_by", first_rejection(ordered, F.col(text)))
+    (n_words,) = free_names(docs, "n_words")
+    body = F.coalesce(text, F.lit(""))
+    counted = docs.withColumn(n_words, word_count(body))
+    verdict = first_rejection(ordered, lookup(body, {"n_words": F.col(n_words)}))
+    return counted.withColumn("rejected_by", verdict).drop(n_words)
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
     """Base counts of every document and the verdict of the cascade.
 
-    The contract wants the base counts of every row, so the base rules are read
-    off them; the cascade of the other rules runs only for rows these let pass.
+    The contract wants the base counts of every row, so the rules take them from
+    the row; what only the cascade needs is computed for rows that come to it.
     """
     ordered = order_rules(docs, EXTRA_RULES)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    m = measures(F.col("text"))
-    base = docs.select(
-        F.col("doc_id"), text.alias("text"), *[expr.alias(name) for name, expr in m.items()]
-    ).select("*", fails_base(F.col("counted.n_words"), F.col("counted.n_repeat_words")).alias("base_failed"))
-    verdict = F.when(F.col("base_failed"), F.lit("base")).otherwise(first_rejection(ordered, F.col("text")))
+    body = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    text = F.col("text")
+
+    def count(w: Column) -> Column:
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.aggregate(w, F.lit(0).cast("long"), lambda n, x: n + F.char_length(x)).alias("word_chars"),
+            covered_words(window_hashes(w)).alias("n_repeat_words"),
+            repeats_next(w).alias("n_stutter"),
+        )
+
+    counted = body.select(
+        "doc_id",
+        "text",
+        let(words(text), count).alias("c"),
+        MEASURES["n_symbols"](text).alias("n_symbols"),
+        let(
+            filled_lines(text),
+            lambda x: F.struct(
+                F.size(x).cast("long").alias("n_lines"),
+                (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            ),
+        ).alias("l"),
+    ).select("doc_id", "text", "c.*", "n_symbols", "l.*")
+    base = counted.withColumn("base_failed", fails_base(F.col("n_words"), F.col("n_repeat_words")))
+    known = {c: F.col(c) for c in ("n_words", "word_chars", "n_repeat_words", "n_stutter", "n_symbols", "n_lines", "n_dup_lines")}
+    verdict = F.when(F.col("base_failed"), F.lit("base")).otherwise(first_rejection(ordered, lookup(text, known)))
     return base.select(
         "doc_id",
-        "counted.n_words",
+        "n_words",
         "word_chars",
         "n_symbols",
         "n_dup_lines",
-        "counted.n_repeat_words",
+        "n_repeat_words",
         "base_failed",
         verdict.alias("rejected_by"),
     ).select("*", F.col("rejected_by").isNull().alias("kept"))
