@@ -181,14 +181,16 @@ def first_rejection(rules: list[Rule], measure: Callable[[str], Column]) -> Colu
     return verdict
 
 
-def cascade(docs: DataFrame, rules=RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``docs`` with ``rejected_by``: the rule that turned the text away, null for a text to keep."""
+def cascade(
+    docs: DataFrame, rules=RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS, verdict: str = "rejected_by"
+) -> DataFrame:
+    """``docs`` with a column ``verdict``: the rule that turned the text away, null for a text to keep."""
     ordered = order_rules(docs, rules, text, sample_rows)
     (n_words,) = free_names(docs, "n_words")
     body = F.coalesce(text, F.lit(""))
     counted = docs.withColumn(n_words, word_count(body))
-    verdict = first_rejection(ordered, lookup(body, {"n_words": F.col(n_words)}))
-    return counted.withColumn("rejected_by", verdict).drop(n_words)
+    found = first_rejection(ordered, lookup(body, {"n_words": F.col(n_words)}))
+    return counted.withColumn(verdict, found).drop(n_words)
 
 
 def quality_report(docs: DataFrame) -> DataFrame:

@@ -5,38 +5,67 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wareloom.llm import html_text, line_crf, packing, quality_rules, separator_scan
+import corpus_pipeline
+from wareloom.llm import (
+    fingerprints,
+    html_text,
+    line_crf,
+    min_max,
+    mixing,
+    packing,
+    pitman_yor,
+    quality_rules,
+    sanitise,
+    separator_scan,
+)
 from wareloom.llm.common import importable, read_table
 
 ORACLES: dict[str, str] = {}
 
-VOCABULARY = "word_bpe_49k.json"
 END_OF_TEXT = 49407
 
 
-def vocabulary_path(name: str = VOCABULARY) -> str:
-    """Place of a public vocabulary file, the same on every machine."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    blocks = separator_scan.token_blocks(docs, vocabulary_path(), END_OF_TEXT)
+    blocks = separator_scan.token_blocks(docs, packing.vocabulary_path(), END_OF_TEXT)
     counted = separator_scan.count_tokens(separator_scan.write_blocks(blocks), END_OF_TEXT)
     return counted.where("closed").select("doc_id", "file", "ordinal", "start", "n_tokens")
 
 
+def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix_sources(docs).select(
+        "doc_id", "source", mixing.word_tokens(F.col("text")).alias("n_tokens"), "epoch", "block", "block_order", "weight"
+    )
+
+
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edit(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return packing.pack_documents(docs, vocabulary_path(), payload=F.crc32("ids").alias("ids_crc32"))
+    return packing.pack_documents(docs, packing.vocabulary_path(), payload=F.crc32("ids").alias("ids_crc32"))
+
+
+def op5_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.find_spans(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    return pitman_yor.score_documents(docs, held_out)
+
+
+def op8_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return min_max.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html_text.extract_pages(read_table(spark, sf_dir, "pages"))
     return pages.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -56,8 +85,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPERATORS = (
     op1_separator_scan,
+    op2_temperature_mixing,
+    op3_document_fingerprints,
     op4_best_fit_packing,
+    op5_sanitisation,
     op6_quality_rules,
+    op7_pitman_yor,
+    op8_min_max,
     op9_html_text,
     op10_quality_classifier,
 )
@@ -67,4 +101,4 @@ def prepared(run):
     return lambda spark, sf_dir: run(importable(spark), sf_dir)
 
 
-QUERIES = {run.__name__: prepared(run) for run in OPERATORS}
+QUERIES = {run.__name__: prepared(run) for run in OPERATORS} | {"pipeline": corpus_pipeline.run}
