@@ -25,7 +25,8 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest doc_id. A repeated doc_id stays once."""
-    judged = min_max.near_duplicates(importable(spark) and docs)
+    importable(spark)
+    judged = min_max.near_duplicates(docs)
     kept = judged.where("kept and doc_id is not null").select("doc_id")
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
@@ -44,8 +45,9 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their sequence and offset."""
+    importable(spark)
     payload = F.crc32("ids").alias("ids_crc32")
-    return packing.pack_documents(importable(spark) and docs, packing.vocabulary_path(), payload=payload)
+    return packing.pack_documents(docs, packing.vocabulary_path(), payload=payload)
 
 
 STAGES = [

@@ -15,8 +15,8 @@ before are left out. Components come from edge contraction.
 
 Null and empty texts have an empty set and stay alone. Texts shorter than a
 shingle have their whole word sequence as one. Rows without doc_id stay alone and
-are kept. Rows that share a doc_id count as one document when components are
-formed. An empty table gives no rows.
+are kept. Rows that share a doc_id are judged each by its own text. An empty table
+gives no rows.
 """
 
 from __future__ import annotations

@@ -188,12 +188,16 @@ def plan_mixture(
     edge = edge.withColumnRenamed("source", "s").withColumnRenamed("block", "b")
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))
     within = Window.partitionBy("s", "b").orderBy("h").rangeBetween(Window.unboundedPreceding, -1)
-    cuts = (
+    last = (
         dealt.join(edge, same)
         .withColumn("before", F.coalesce(F.sum("n").over(within), F.lit(0)))
         .where(F.col("before") + F.col("n") / 2 < F.col("open"))
-        .groupBy("s")
-        .agg(F.max("cut_block").alias("cut_block"), F.max("h").alias("cut_row"))
+        .groupBy(F.col("s").alias("t"))
+        .agg(F.max("h").alias("cut_row"))
+    )
+    # No document of the block at the edge may fit; the blocks before it are taken all the same.
+    cuts = edge.join(last, F.col("s").eqNullSafe(F.col("t")), "left").select(
+        "s", "cut_block", F.coalesce("cut_row", F.lit(-(2**63))).alias("cut_row")
     )
     cut_plan = plan.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").drop("s", "rest")
     return Mixture(materialize(cut_plan, "mix-plan"), blocks, exponent)
