@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from wareloom.schema import NULL_TOKENS, WEEKDAY_LABELS
 
-# The two textual time layouts of the data.
-STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+# The two textual time layouts of the data. The fraction has one to nine digits.
+STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSS'Z'"
 CLOCK_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # Fixed value: the characters Unicode counts as white space.
@@ -17,6 +17,7 @@ WHITESPACE = (
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+WHOLE_NUMBER = r"^-?[0-9]+\z"
 DIGITS_ONE_DOT = r"^([0-9]+\.?[0-9]*|\.[0-9]+)\z"
 
 
@@ -35,9 +36,13 @@ def blank_to_null(c: Column, tokens: list[str] = NULL_TOKENS) -> Column:
 
 
 def parse_text_time(c: Column, clock: bool) -> Column:
-    """Quoted or padded time text; anything unparsable becomes null."""
+    """Quoted or padded time text; whole numbers are milliseconds since the epoch.
+
+    Anything unparsable becomes null.
+    """
     text = strip(F.replace(c, F.lit('"'), F.lit("")))
-    return F.try_to_timestamp(text, F.lit(CLOCK_FORMAT if clock else STAMP_FORMAT))
+    parsed = F.try_to_timestamp(text, F.lit(CLOCK_FORMAT if clock else STAMP_FORMAT))
+    return F.when(text.rlike(WHOLE_NUMBER), millis_time(text.try_cast("bigint"))).otherwise(parsed)
 
 
 def millis_time(c: Column) -> Column:
@@ -70,13 +75,13 @@ def log_amount(c: Column, keep_infinite: bool = False) -> Column:
     return value
 
 
-def safe_ratio(top: Column, bottom: Column) -> Column:
-    return F.try_divide(top.cast("double"), bottom.cast("double"))
+def amount(price: Column, quantity: Column) -> Column:
+    return price * quantity
 
 
 def hash_text(key: Column, seed: int) -> Column:
-    """Uniform, repeatable 32-digit text per key; the same on every engine."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+    """Uniform, repeatable 32-digit text per key; the same on every engine. Null counts as an empty key."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
 
 
 def hash_unit(key: Column, seed: int) -> Column:

@@ -81,8 +81,8 @@ class TrimLower(Step):
 class ParseTimes(Step):
     """Turn columns whose name looks like a time into timestamps.
 
-    Text is parsed by layout, whole numbers are milliseconds since the epoch,
-    other types stay as they are.
+    Text is parsed by layout, whole numbers (also as text) are milliseconds since
+    the epoch, other types stay as they are.
     """
 
     # Fixed values.

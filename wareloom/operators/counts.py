@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wareloom.functions.columns import hash_text, weekday_label, weekday_name
 from wareloom.operators.decide import null_ratio
+from wareloom.operators.levels import level_counts
 from wareloom.operators.skew import salted_join
 from wareloom.schema import TIME_COLUMNS, WEEKDAY_LABELS, WEEKDAYS
 
@@ -75,12 +76,7 @@ def cross_counts(df: DataFrame, x: str, y: str) -> DataFrame:
 
 def category_shares(df: DataFrame, columns: list[str], rare_below: float = 0.05) -> DataFrame:
     """(variable, value, n, share, rare) of categorical columns in one pass."""
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
-        [], columns, "variable", "value"
-    )
-    counts = (
-        long.where(F.col("value").isNotNull()).groupBy("variable", "value").agg(F.count("*").alias("n"))
-    )
+    counts = level_counts(df, columns)
     totals = counts.groupBy("variable").agg(F.sum("n").alias("total"))
     share = F.col("n") / F.col("total")
     return counts.join(F.broadcast(totals), "variable").select(
@@ -89,12 +85,7 @@ def category_shares(df: DataFrame, columns: list[str], rare_below: float = 0.05)
 
 
 def category_target_counts(df: DataFrame, columns: list[str], target: str) -> DataFrame:
-    long = df.select(target, *[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
-        [target], columns, "variable", "value"
-    )
-    return long.where(F.col("value").isNotNull()).groupBy("variable", "value", target).agg(
-        F.count("*").alias("n")
-    )
+    return level_counts(df, columns, (target,))
 
 
 def missing_report(df: DataFrame, only_missing: bool = False) -> DataFrame:
@@ -122,13 +113,7 @@ def grouped_stats(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
     wide = df.groupBy(group).agg(*aggs)
     stats = wide.select(group, F.inline(F.array(*columns)))
     distinct = (
-        df.select(group, *[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([group], columns, "variable", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("variable", group, "value")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("variable", group)
-        .agg(F.count("*").alias("n_unique"))
+        level_counts(df, columns, (group,), kind="double").groupBy("variable", group).agg(F.count("*").alias("n_unique"))
     )
     return stats.join(distinct, ["variable", group], "left").withColumn(
         "n_unique", F.coalesce("n_unique", F.lit(0))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from wareloom.functions.columns import is_digit_text
 from wareloom.operators.clean import CastNumbers, DropColumns, text_columns
+from wareloom.operators.levels import level_counts
 from wareloom.operators.steps import Decision, Step
 
 
@@ -34,54 +35,39 @@ def comparable_pairs(df: DataFrame) -> list[tuple[str, str]]:
     return [(a, b) for a, b in combinations(df.columns, 2) if kinds[a] == kinds[b]]
 
 
-# A few rows refute most pairs before the table is read for the rest.
-PROBE_ROWS = 1000
-
-
-def unrefuted(df: DataFrame, pairs: list[tuple[str, str]]) -> list[tuple[str, str]]:
-    """Pairs that no probe row shows to differ.
-
-    One differing row proves a pair unequal, so nothing is decided wrongly
-    here; what remains is compared over all rows.
-    """
-    open_pairs = set(pairs)
-    for row in df.limit(PROBE_ROWS).collect():
-        value = row.asDict(recursive=True)
-        open_pairs -= {
-            (a, b)
-            for a, b in open_pairs
-            if value[a] is not None and value[b] is not None and value[a] != value[b]
-            # NaN differs from itself here but not in Spark.
-            and value[a] == value[a] and value[b] == value[b]
-        }
-    return [pair for pair in pairs if pair in open_pairs]
-
-
-def duplicate_columns(df: DataFrame, require_overlap: bool = False) -> list[str]:
-    """Columns equal to an earlier one wherever both have a value.
+def duplicate_columns(df: DataFrame, require_overlap: bool = False, empty_equals_all: bool = False) -> list[str]:
+    """Columns equal to an earlier one of the same type wherever both have a value; one pass over all rows.
 
     Two columns never filled in the same row count as equal unless
-    ``require_overlap``. Empty columns only pair with other empty columns.
+    ``require_overlap``. A column without any value equals other empty columns of
+    its type only; with ``empty_equals_all`` it equals every column of its type.
     """
-    pairs = unrefuted(df, comparable_pairs(df))
+    pairs = comparable_pairs(df)
     filled = [F.count(c).alias(f"filled_{i}") for i, c in enumerate(df.columns)]
     same = [
         F.coalesce(F.bool_and(F.col(a) == F.col(b)), F.lit(not require_overlap)).alias(f"same_{i}")
         for i, (a, b) in enumerate(pairs)
     ]
     row = df.agg(*filled, *same).first()
-    empty = [c for i, c in enumerate(df.columns) if row[f"filled_{i}"] == 0]
-    equal = {
-        b
-        for i, (a, b) in enumerate(pairs)
-        if row[f"same_{i}"] and a not in empty and b not in empty
-    }
-    return [c for c in df.columns if c in equal or c in empty[1:]]
+    empty = {c for i, c in enumerate(df.columns) if row[f"filled_{i}"] == 0}
+
+    def equal(i: int, a: str, b: str) -> bool:
+        if a in empty and b in empty:
+            return True
+        if a in empty or b in empty:
+            return empty_equals_all
+        return row[f"same_{i}"]
+
+    found = {b for i, (a, b) in enumerate(pairs) if equal(i, a, b)}
+    return [c for c in df.columns if c in found]
 
 
 class DropDuplicateColumns(Decision):
     def _fit(self, df: DataFrame) -> Step:
-        return DropColumns(columns=duplicate_columns(df, self.option("require_overlap", False)))
+        found = duplicate_columns(
+            df, self.option("require_overlap", False), self.option("empty_equals_all", False)
+        )
+        return DropColumns(columns=found)
 
 
 class DropSparseColumns(Decision):
@@ -116,25 +102,19 @@ CATEGORICAL = (T.StringType, T.BooleanType)
 
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(variable, n_unique, has_null): exact distinct non-null values per column."""
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
-        [], columns, "variable", "value"
-    )
     return (
-        long.groupBy("variable", "value")
-        .agg(F.lit(1).alias("one"))
+        level_counts(df, columns, nulls=True)
         .groupBy("variable")
-        .agg(
-            F.count("value").alias("n_unique"),
-            F.max(F.col("value").isNull()).alias("has_null"),
-        )
+        .agg(F.count("value").alias("n_unique"), F.max(F.col("value").isNull()).alias("has_null"))
     )
 
 
 def columns_within(df: DataFrame, columns: list[str], limit: int, count_null: bool) -> set[str]:
     """Columns with at most ``limit`` distinct values, exactly.
 
-    A sketch first sets aside the columns that are far above the limit, so
-    their values are never shuffled; the rest is counted exactly.
+    A sketch first sets aside the columns that are far above the limit (over
+    ``20 * limit + 100``, many times its error), so their values are never
+    shuffled; the rest is counted exactly.
     """
     if not columns:
         return set()

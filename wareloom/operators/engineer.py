@@ -4,29 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wareloom.functions.columns import hash_unit
-from wareloom.operators.fitted import freeze_levels, level_table, small_levels
+from wareloom.operators.fitted import few_levels, freeze_levels, is_small, level_table, with_level
+from wareloom.operators.levels import level_counts
 from wareloom.operators.ranks import running_totals
-from wareloom.operators.skew import salted_join
 from wareloom.operators.steps import Decision, Step
 
-# Up to this many levels a lookup is an expression, beyond it a join.
-INLINE = 64
-DRAW_BUCKETS = 4096
-
-
-def level_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(variable, value, n) of non-null values as text, one pass."""
-    return (
-        df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-        .unpivot([], columns, "variable", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("variable", "value")
-        .agg(F.count("*").alias("n"))
-    )
-
 
 class RandomSampleImpute(Decision):
     """Fill nulls with a random observed value, chosen by a seeded hash of the id.
@@ -66,30 +50,36 @@ class DrawValues(Step):
         levels = self.option("levels")
         kind = df.schema[c].dataType
         u = hash_unit(F.col(self.option("key")), f"{self.option('seed')}:{c}")
-        known = small_levels(levels, c)
-        if known is not None and len(known) <= INLINE:
+        known = few_levels(levels, c)
+        if known is not None:
             drawn: Column = F.lit(None).cast("string")
             for value, _, high in sorted(known, key=lambda r: -r[2]):
                 drawn = F.when(u < high, value).otherwise(drawn)
             return df.withColumn(c, F.coalesce(F.col(c), drawn.cast(kind)))
 
-        # Unit range cut into equal buckets; a level sits in every bucket it
-        # touches, so the range lookup is an equi-join on the bucket.
-        ranges = level_table(df.sparkSession, levels, c)
-        first = F.floor(F.col("low") * DRAW_BUCKETS)
-        last = F.least(F.ceil(F.col("high") * DRAW_BUCKETS) - 1, F.lit(DRAW_BUCKETS - 1))
-        table = ranges.select("value", "low", "high", F.explode(F.sequence(first, last)).alias("_bucket"))
-        if known is not None:
-            table = F.broadcast(table)  # kept by value: its size was checked at fit
-        names = df.columns
-        missing = df.where(F.col(c).isNull()).withColumn("_u", u)
-        missing = missing.withColumn("_bucket", F.floor(F.col("_u") * DRAW_BUCKETS))
-        filled = (
-            missing.join(table, "_bucket", "inner")
-            .where((F.col("_u") >= F.col("low")) & (F.col("_u") < F.col("high")))
-            .select(*[F.col("value").cast(kind).alias(c) if n == c else F.col(n) for n in names])
+        # The unit range cut into as many buckets as there are levels; a level sits in every bucket it
+        # touches, so the range lookup is an equi-join on the bucket with about two levels each.
+        buckets = levels["sizes"][c]
+        first = F.floor(F.col("low") * buckets)
+        last = F.least(F.ceil(F.col("high") * buckets) - 1, F.lit(buckets - 1))
+        table = level_table(df.sparkSession, levels, c).select(
+            F.col("value").alias("_value"),
+            F.col("low").alias("_low"),
+            F.col("high").alias("_high"),
+            F.explode(F.sequence(first, F.greatest(first, last))).alias("_bucket"),
+        )
+        if is_small(levels, c):
+            table = F.broadcast(table)  # its size was checked at fit
+        # One left join keeps every row. Rows with a value get negative keys, which match nothing and
+        # spread over as many tasks as the buckets.
+        spread = -1 - F.pmod(F.monotonically_increasing_id(), F.lit(buckets))
+        keyed = df.withColumn("_u", u).withColumn(
+            "_at", F.when(F.col(c).isNull(), F.floor(F.col("_u") * buckets)).otherwise(spread)
         )
-        return df.where(F.col(c).isNotNull()).unionByName(filled)
+        within = (F.col("_u") >= F.col("_low")) & (F.col("_u") < F.col("_high"))
+        joined = keyed.join(table, (F.col("_at") == F.col("_bucket")) & within, "left")
+        filled = F.coalesce(F.col(c), F.col("_value").cast(kind)).alias(c)
+        return joined.select(*[filled if n == c else F.col(n) for n in df.columns])
 
 
 class RareLabels(Decision):
@@ -208,14 +198,16 @@ class ApplyCodes(Step):
         levels = self.option("levels")
         inline = {}
         for c in self.option("columns"):
-            known = small_levels(levels, c)
-            if c in df.columns and known is not None and len(known) <= INLINE:
+            known = few_levels(levels, c)
+            if c in df.columns and known is not None:
                 inline[c] = self._inline(F.col(c).cast("string"), known)
         looked_up = [c for c in self.option("columns") if c in df.columns and c not in inline]
         if inline:
             df = df.withColumns(inline)
         for c in looked_up:
-            df = self._join(df, c)
+            names = df.columns
+            coded = with_level(df, levels, c, F.col(c).cast("string"), F.col("code"), "_code")
+            df = coded.select(*[F.col("_code").alias(c) if n == c else F.col(n) for n in names])
         return df
 
     @staticmethod
@@ -224,29 +216,3 @@ class ApplyCodes(Step):
             return F.lit(None).cast("double")
         pairs = [F.lit(part) for value, _, code in known for part in (value, float(code))]
         return F.try_element_at(F.create_map(*pairs), text)
-
-    def _join(self, df: DataFrame, c: str) -> DataFrame:
-        levels = self.option("levels")
-        names = df.columns
-        table = level_table(df.sparkSession, levels, c).withColumnRenamed("value", "_level")
-        rows = df.withColumn("_level", F.col(c).cast("string"))
-        codes = table.select("_level", F.col("code").alias("_code"))
-        if small_levels(levels, c) is not None:
-            coded = rows.join(F.broadcast(codes), "_level", "left")
-        else:
-            coded = salted_join(rows, codes, "_level", table, "left")
-        return coded.select(*[F.col("_code").alias(c) if n == c else F.col(n) for n in names])
-
-
-class NullCodes(Step):
-    """Missing codes as -1: the tree learner has no branch for missing values."""
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        names = [c for c in self.option("columns") if c in df.columns]
-        return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(-1.0)) for c in names})
-
-
-def numeric_names(df: DataFrame, skip: list[str]) -> list[str]:
-    return [
-        f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in skip
-    ]

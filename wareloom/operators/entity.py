@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wareloom.functions.columns import hours_between
+from wareloom.functions.columns import amount, hours_between
 from wareloom.schema import FIRST_COLUMNS, HELPER_COLUMNS, MODAL_COLUMNS, SUM_COLUMNS
 
 NUMBERS_SLOT = -1
@@ -51,6 +51,59 @@ def _deduplicated(df: DataFrame, key: str) -> DataFrame:
     return once.agg(F.min(order).alias("one")).select(key, *[F.col(f"one.{c}").alias(c) for c in numbers])
 
 
+def _numbers(df: DataFrame, key: str) -> DataFrame:
+    """The first row by the declared order and the sums, per key."""
+    return df.groupBy(key).agg(
+        F.min(F.struct(*FIRST_COLUMNS, "price")).alias("first_row"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(f"sum_{out}") for c, out in SUM_COLUMNS.items()],
+    )
+
+
+def _slots(df: DataFrame, key: str, modal: dict[str, str], nulls: str, with_numbers: bool) -> DataFrame:
+    """(key, slot, value, n, first_row, sums): counted cells of the modal columns, and of the numbers.
+
+    Every row becomes one cell per modal column and one cell for its numbers,
+    which are counted together: the input is read and joined once. Grouping by
+    value spreads a hot key over its values; the numbers of a row are part of the
+    grouping in their cell, so that the first row needs no ordered buffer.
+    """
+    if nulls not in ("count", "ignore"):
+        raise ValueError(f"nulls must be 'count' or 'ignore', not {nulls!r}")
+    order = [*FIRST_COLUMNS, "price"] if with_numbers else []
+    sums = SUM_COLUMNS if with_numbers else {}
+    kind = {f.name: f.dataType for f in df.schema.fields}
+
+    def cell(slot: int, value: Column, filled: bool) -> Column:
+        return F.struct(
+            F.lit(slot).alias("slot"),
+            value.alias("value"),
+            *[(F.col(c) if filled else F.lit(None).cast(kind[c])).alias(f"first_{c}") for c in order],
+            *[(F.col(c) if filled else F.lit(None).cast(kind[c])).alias(f"part_{c}") for c in sums],
+        )
+
+    cells = [cell(i, F.col(c).cast("string"), False) for i, c in enumerate(modal)]
+    if with_numbers:
+        cells.append(cell(NUMBERS_SLOT, F.lit(None).cast("string"), True))
+    long = df.select(F.col(key), F.inline(F.array(*cells)))
+    if nulls == "ignore":
+        long = long.where(F.col("value").isNotNull() | (F.col("slot") == NUMBERS_SLOT))
+    counted = long.groupBy(key, "slot", "value", *[f"first_{c}" for c in order]).agg(
+        F.count("*").alias("n"), *[F.sum(f"part_{c}").alias(f"sum_{out}") for c, out in sums.items()]
+    )
+    if not with_numbers:
+        return counted
+    first = F.struct(*[F.col(f"first_{c}").alias(c) for c in order])
+    return counted.withColumn("first_row", F.when(F.col("slot") == NUMBERS_SLOT, first)).drop(*[f"first_{c}" for c in order])
+
+
+def _per_key(slots: DataFrame, key: str, modal: dict[str, str]) -> DataFrame:
+    return slots.groupBy(key).agg(
+        *[pick_mode(i).alias(f"mode_{out}") for i, out in enumerate(modal.values())],
+        F.min("first_row").alias("first_row"),
+        *[F.coalesce(F.sum(f"sum_{out}"), F.lit(0)).alias(f"sum_{out}") for out in SUM_COLUMNS.values()],
+    )
+
+
 def entity_aggregate(
     df: DataFrame,
     key: str,
@@ -71,22 +124,18 @@ def entity_aggregate(
     if grain not in ("fanout", "entity"):
         raise ValueError(f"grain must be 'fanout' or 'entity', not {grain!r}")
     modal = {c: out for c, out in MODAL_COLUMNS.items() if modes is None or out in modes}
-    numbers_of = df if grain == "fanout" else _deduplicated(df, key)
-
-    numbers = numbers_of.groupBy(key).agg(
-        F.min(F.struct(*FIRST_COLUMNS, "price")).alias("first_row"),
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(f"sum_{out}") for c, out in SUM_COLUMNS.items()],
-    )
-    if modal:
-        # Both halves meet in one grouping by key: a join would need null-safe keys.
-        halves = mode_counts(df, key, list(modal), nulls).unionByName(
-            numbers.withColumn("slot", F.lit(NUMBERS_SLOT)), allowMissingColumns=True
-        )
-        numbers = halves.groupBy(key).agg(
-            *[pick_mode(i).alias(f"mode_{out}") for i, out in enumerate(modal.values())],
-            F.max("first_row").alias("first_row"),
-            *[F.max(f"sum_{out}").alias(f"sum_{out}") for out in SUM_COLUMNS.values()],
-        )
+    if grain == "entity":
+        numbers = _numbers(_deduplicated(df, key), key)
+        if modal:
+            # Sums over products and modes over rows: two groupings, met by key.
+            halves = _slots(df, key, modal, nulls, with_numbers=False).unionByName(
+                numbers.withColumn("slot", F.lit(NUMBERS_SLOT)), allowMissingColumns=True
+            )
+            numbers = _per_key(halves, key, modal)
+    elif modal:
+        numbers = _per_key(_slots(df, key, modal, nulls, with_numbers=True), key, modal)
+    else:
+        numbers = _numbers(df, key)
 
     result = numbers.select(
         key,
@@ -96,7 +145,7 @@ def entity_aggregate(
         *[F.col(f"first_row.{c}").alias(c) for c in FIRST_COLUMNS],
     ).withColumns(
         {
-            "total_amount": F.col("unit_price") * F.col("total_quantity"),
+            "total_amount": amount(F.col("unit_price"), F.col("total_quantity")),
             "date_difference_hr": hours_between(F.col("date_created"), F.col("last_updated")),
             "time_difference_hr": hours_between(F.col("start_time"), F.col("stop_time")),
         }

@@ -14,18 +14,28 @@ EPSILON = 2.220446049250313e-16
 STEPS = 100  # thresholds 0.00, 0.01, ... 1.00
 
 
-def score_counts(df: DataFrame, by: list[str], score: str, label: str) -> DataFrame:
-    """Positives and negatives per distinct score."""
+def score_counts(
+    df: DataFrame, by: list[str], score: str, label: str, weight: str | None = None
+) -> DataFrame:
+    """Positives and negatives per distinct score, as rows or as their weight."""
+    one = F.col(weight).cast("double") if weight else F.lit(1).cast("bigint")
+    none = F.lit(0).cast("double" if weight else "bigint")
     return df.groupBy(*by, score).agg(
-        F.sum((F.col(label) == 1).cast("bigint")).alias("pos"),
-        F.sum((F.col(label) == 0).cast("bigint")).alias("neg"),
+        F.sum(F.when(F.col(label) == 1, one).otherwise(none)).alias("pos"),
+        F.sum(F.when(F.col(label) == 0, one).otherwise(none)).alias("neg"),
     )
 
 
-def roc_auc(df: DataFrame, score: str = "score", label: str = "label", by: list[str] | None = None) -> DataFrame:
-    """Area under the ROC curve per group; tied scores count half."""
+def roc_auc(
+    df: DataFrame,
+    score: str = "score",
+    label: str = "label",
+    by: list[str] | None = None,
+    weight: str | None = None,
+) -> DataFrame:
+    """Area under the ROC curve per group; tied scores count half, rows by their weight."""
     by = by or []
-    cum = running_totals(score_counts(df, by, score, label), by, [score], {"cum_neg": "neg"})
+    cum = running_totals(score_counts(df, by, score, label, weight), by, [score], {"cum_neg": "neg"})
     below = F.col("cum_neg") - F.col("neg") / 2
     return cum.groupBy(*by).agg(
         F.try_divide(
@@ -60,10 +70,25 @@ def roc_points(df: DataFrame, score: str = "score", label: str = "label", by: li
     return origin.unionByName(points)
 
 
-def log_loss(df: DataFrame, score: str = "score", label: str = "label", by: list[str] | None = None) -> DataFrame:
-    p = F.least(F.greatest(F.col(score), F.lit(EPSILON)), F.lit(1 - EPSILON))
-    y = F.col(label)
-    return df.groupBy(*(by or [])).agg(F.avg(-(y * F.ln(p) + (1 - y) * F.ln(1 - p))).alias("log_loss"))
+def row_loss(score: Column, label: Column) -> Column:
+    """Negative log-likelihood of one row, the score kept off 0 and 1."""
+    p = F.least(F.greatest(score, F.lit(EPSILON)), F.lit(1 - EPSILON))
+    return -(label * F.ln(p) + (1 - label) * F.ln(1 - p))
+
+
+def weighted_mean(value: Column, weight: str | None) -> Column:
+    return F.sum(value * F.col(weight)) / F.sum(weight) if weight else F.avg(value)
+
+
+def log_loss(
+    df: DataFrame,
+    score: str = "score",
+    label: str = "label",
+    by: list[str] | None = None,
+    weight: str | None = None,
+) -> DataFrame:
+    loss = weighted_mean(row_loss(F.col(score), F.col(label)), weight)
+    return df.groupBy(*(by or [])).agg(loss.alias("log_loss"))
 
 
 def confusion(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wareloom.operators.ranks import exact_quantiles, quantiles_of, ranked_values
+from wareloom.operators.ranks import exact_quantiles
 
 
 def long_stats(counts: DataFrame, by: list[str]) -> DataFrame:
@@ -76,12 +76,17 @@ def shape_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     return _stat_rows(df, columns, {"skew": F.skewness, "kurtosis": F.kurtosis})
 
 
+def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(variable, value) of numeric columns, nulls left out."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "variable", "value")
+    return long.where(F.col("value").isNotNull())
+
+
 def histogram(df: DataFrame, columns: list[str], bins: int = 25) -> DataFrame:
     """Equal-width bins over the range of each column, the last one closed.
 
     A constant column gets a range of one around its value.
     """
-    counts = ranked_values(df, columns)
     stats = basic_stats(df, columns).where("n > 0")
     flat = F.col("high") == F.col("low")
     spans = stats.select(
@@ -91,12 +96,14 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 25) -> DataFrame:
         F.when(flat, F.lit(1.0)).otherwise(F.col("high") - F.col("low")).alias("span"),
     )
     position = F.floor((F.col("value") - F.col("start")) * bins / F.col("span"))
+    # One row of spans per column.
     filled = (
-        counts.join(F.broadcast(spans), "variable")
+        long_values(df, columns)
+        .join(F.broadcast(spans), "variable")
         .groupBy("variable", F.least(position, F.lit(bins - 1)).cast("int").alias("bin"))
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count("*").alias("n"))
     )
-    medians = quantiles_of(counts, [0.5])
+    medians = exact_quantiles(df, columns, [0.5])
     frame = spans.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = F.col("span") / bins
     return (
@@ -145,12 +152,12 @@ def normal_reference(df: DataFrame, columns: list[str], points: int = 50) -> Dat
     )
 
 
-def density(counts: DataFrame, by: list[str], points: int = 200, cut: float = 3.0) -> DataFrame:
-    """Gaussian kernel density on a grid from (by, value, n) counts, exact.
+def density(counts: DataFrame, by: list[str], points: int = 200, cut: float = 3.0, bins: int = 2048) -> DataFrame:
+    """Gaussian kernel density on a grid from (by, value, n) counts.
 
-    Scott bandwidth, grid reaching ``cut`` bandwidths past the data. Each
-    distinct value meets every grid point inside its own task and only the
-    per-point sums are shuffled.
+    Scott bandwidth, grid reaching ``cut`` bandwidths past the data. Values are
+    first counted in ``bins`` equal bins of their range and stand at the middle of
+    their bin, so only bins meet the grid points, whatever the number of values.
     """
     stats = long_stats(counts, by).where("std > 0").withColumn(
         "width", F.col("std") * F.pow(F.col("total").cast("double"), F.lit(-0.2))
@@ -159,14 +166,19 @@ def density(counts: DataFrame, by: list[str], points: int = 200, cut: float = 3.
         *by,
         "total",
         "width",
+        "low",
+        ((F.col("high") - F.col("low")) / bins).alias("bin_width"),
         (F.col("low") - cut * F.col("width")).alias("start"),
         ((F.col("high") - F.col("low") + 2 * cut * F.col("width")) / (points - 1)).alias("step"),
     )
-    reached = counts.join(F.broadcast(spans), by).select(
+    bin_ = F.least(F.floor((F.col("value") - F.col("low")) / F.col("bin_width")), F.lit(bins - 1))
+    binned = counts.join(F.broadcast(spans), by).groupBy(*by, bin_.alias("bin")).agg(F.sum("n").alias("n"))
+    reached = binned.join(F.broadcast(spans), by).select(
         "*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
     )
     x = F.col("start") + F.col("point") * F.col("step")
-    z = (x - F.col("value")) / F.col("width")
+    middle = F.col("low") + (F.col("bin") + 0.5) * F.col("bin_width")
+    z = (x - middle) / F.col("width")
     kernel = F.col("n") * F.exp(-z * z / 2)
     sums = reached.groupBy(*by, "point").agg(F.sum(kernel).alias("mass"))
     norm = F.col("total") * F.col("width") * math.sqrt(2 * math.pi)
@@ -177,8 +189,7 @@ def density(counts: DataFrame, by: list[str], points: int = 200, cut: float = 3.
 
 def box_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges and the outliers beyond."""
-    counts = ranked_values(df, columns)
-    quartiles = quantiles_of(counts, [0.25, 0.5, 0.75]).select(
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).select(
         "variable", F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3")
     )
     fences = quartiles.withColumns(
@@ -190,11 +201,12 @@ def box_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     x = F.col("value")
     inside = (x >= F.col("fence_low")) & (x <= F.col("fence_high"))
     return (
-        counts.join(F.broadcast(fences), "variable")
+        long_values(df, columns)
+        .join(F.broadcast(fences), "variable")
         .groupBy("variable", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, x)).alias("whisker_low"),
             F.max(F.when(inside, x)).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("n_outliers"),
+            F.count_if(~inside).alias("n_outliers"),
         )
     )

@@ -1,5 +1,8 @@
 """Running totals, ranks and exact quantiles without a single-task window.
 
+Quantiles are found by counting alone: value ranges are refined until the wanted
+value is left. Running totals need the order.
+
 A global window puts the whole table into one task. Here the rows are range
 partitioned by the requested order and written once, so that every row keeps
 the number of its range; each range then only needs the total of the ranges
@@ -8,12 +11,19 @@ before it.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wareloom.operators.levels import level_counts
 from wareloom.sources.store import materialize
 
 
+# Bins per refinement of a value range.
+BINS = 1024
+
+
 def running_totals(
     df: DataFrame,
     by: list[str],
@@ -49,13 +59,7 @@ def running_totals(
 
 def value_counts_long(df: DataFrame, columns: list[str]) -> DataFrame:
     """(variable, value, n) of numeric columns, nulls left out, one pass."""
-    return (
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([], columns, "variable", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("variable", "value")
-        .agg(F.count("*").alias("n"))
-    )
+    return level_counts(df, columns, kind="double")
 
 
 def ranked_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -75,28 +79,88 @@ def empirical_cdf(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def quantiles_of(ranked: DataFrame, shares: list[float]) -> DataFrame:
-    """One row per variable with ``q_0 .. q_k``: linear interpolation, exact."""
+def _bins_of(df: DataFrame, ranges: list[tuple[str, float, float]]) -> dict[int, list]:
+    """Per range the filled bins (rows, smallest, largest value), in order; one aggregation for all ranges."""
+    cells = []
+    for i, (c, low, high) in enumerate(ranges):
+        x = F.col(c).cast("double")
+        # Halves, because the width of a range may exceed the largest double.
+        place = F.floor((x / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2) * BINS)
+        inside = (x >= F.lit(low)) & (x <= F.lit(high))
+        bin_ = F.least(place, F.lit(BINS - 1)).cast("int")
+        cells.append(F.when(inside, F.struct(F.lit(i).alias("part"), bin_.alias("bin"), x.alias("x"))))
+    counts = (
+        df.select(F.inline(F.array_compact(F.array(*cells))))
+        .groupBy("part", "bin")
+        .agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+    )
+    bins: dict[int, list] = {i: [] for i in range(len(ranges))}
+    # At most BINS rows per range.
+    for r in sorted(counts.collect(), key=lambda r: (r.part, r.bin)):
+        bins[r.part].append((r.n, r.low, r.high))
+    return bins
+
 
-    def value_at(position: Column) -> Column:
-        return F.min(F.when(F.col("cum") > position, F.col("value")))
+def order_statistics(df: DataFrame, wanted: dict[str, set[int]]) -> dict[tuple[str, int], float]:
+    """The k-th smallest value (from 0) of columns, for each wanted k, without sorting or writing.
 
-    positions = [F.lit(float(share)) * (F.col("total") - 1) for share in shares]
-    picks = []
-    for i, position in enumerate(positions):
-        picks += [
-            value_at(F.floor(position)).alias(f"lo_{i}"),
-            value_at(F.ceil(position)).alias(f"hi_{i}"),
+    Each pass counts the rows of the range that still holds the value in 1024
+    bins, and the next range is what the bin with the value spans. Infinities and
+    NaN, the largest, are counted apart.
+    """
+    x = {c: F.col(c).cast("double") for c in wanted}
+    infinite = float("inf")
+    finite = {c: F.when(~F.isnan(v) & (F.abs(v) < infinite), v) for c, v in x.items()}
+    row = df.agg(
+        *[
+            F.struct(
+                F.count_if(v == -infinite).alias("below"),
+                F.count(finite[c]).alias("n"),
+                F.count_if((v == infinite) & ~F.isnan(v)).alias("above"),
+                F.min(finite[c]).alias("low"),
+                F.max(finite[c]).alias("high"),
+            ).alias(c)
+            for c, v in x.items()
         ]
-    found = with_totals(ranked).groupBy("variable", "total").agg(*picks)
-    between = [
-        (F.col(f"lo_{i}") + (F.col(f"hi_{i}") - F.col(f"lo_{i}")) * (p - F.floor(p))).alias(f"q_{i}")
-        for i, p in enumerate(positions)
-    ]
-    return found.select("variable", *between)
+    ).first()
+    found: dict[tuple[str, int], float] = {}
+    # (column, low, high) -> [(k, k counted from the start of the range)]
+    state: dict[tuple[str, float, float], list[tuple[int, int]]] = {}
+    for c, ks in wanted.items():
+        s = row[c]
+        for k in ks:
+            if k < s.below:
+                found[c, k] = -infinite
+            elif k < s.below + s.n:
+                state.setdefault((c, s.low, s.high), []).append((k, k - s.below))
+            else:
+                found[c, k] = infinite if k < s.below + s.n + s.above else float("nan")
+    while state:
+        for c, low, high in [r for r in state if r[1] == r[2]]:
+            found.update({(c, k): low for k, _ in state.pop((c, low, high))})
+        ranges = list(state)
+        bins = _bins_of(df, ranges) if ranges else {}
+        following: dict = {}
+        for i, r in enumerate(ranges):
+            for k, left in state[r]:
+                for n, low, high in bins[i]:
+                    if left < n:
+                        following.setdefault((r[0], low, high), []).append((k, left))
+                        break
+                    left -= n
+        state = following
+    return found
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> DataFrame:
-    """Exact quantiles of columns; ``percentile`` would gather every distinct
-    value of a column in one task."""
-    return quantiles_of(ranked_values(df, columns), shares)
+    """One row per column with ``q_0 .. q_k``: linear interpolation, exact. Columns without values have none."""
+    sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    places = {c: [share * (sizes[c] - 1) for share in shares] for c in columns if sizes[c]}
+    wanted = {c: {k for p in ps for k in (math.floor(p), math.ceil(p))} for c, ps in places.items()}
+    found = order_statistics(df, wanted) if wanted else {}
+    rows = []
+    for c, ps in places.items():
+        ends = [(found[c, math.floor(p)], found[c, math.ceil(p)], p - math.floor(p)) for p in ps]
+        rows.append((c, *[low if low == high else low + (high - low) * part for low, high, part in ends]))
+    names = ", ".join(f"q_{i} double" for i in range(len(shares)))
+    return df.sparkSession.createDataFrame(rows, f"variable string, {names}")

@@ -10,19 +10,14 @@ from pyspark.sql import types as T
 
 from wareloom.operators.association import corr_pairs
 from wareloom.operators.clean import DropColumns
-from wareloom.operators.fitted import freeze_levels, level_table, small_levels
-from wareloom.operators.skew import salted_join
+from wareloom.operators.fitted import few_levels, freeze_levels, with_level
+from wareloom.operators.levels import level_counts
 from wareloom.operators.steps import Decision, Step
 
 
 def modal_shares(df: DataFrame, columns: list[str]) -> DataFrame:
     """(variable, share): rows of the most frequent value, nulls only in the total."""
-    counts = (
-        df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-        .unpivot([], columns, "variable", "value")
-        .groupBy("variable", "value")
-        .agg(F.count("*").alias("n"))
-    )
+    counts = level_counts(df, columns, nulls=True)
     top = F.coalesce(F.max(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0))
     return counts.groupBy("variable").agg((top / F.sum("n")).alias("share"))
 
@@ -95,14 +90,7 @@ class MatchCategories(Decision):
         ]
         if not columns:
             return KnownCategories(columns=[])
-        seen = (
-            df.select(*columns)
-            .unpivot([], columns, "variable", "value")
-            .where(F.col("value").isNotNull())
-            .groupBy("variable", "value")
-            .agg(F.count("*").alias("n"))
-        )
-        return KnownCategories(columns=columns, levels=freeze_levels(seen, "categories"))
+        return KnownCategories(columns=columns, levels=freeze_levels(level_counts(df, columns), "categories"))
 
 
 class KnownCategories(Step):
@@ -111,17 +99,13 @@ class KnownCategories(Step):
         for c in self.option("columns"):
             if c not in df.columns:
                 continue
-            known = small_levels(levels, c)
+            known = few_levels(levels, c)
             if known is not None:
-                values = [value for value, _ in known]
-                keep = F.col(c).isin(*values) if values else F.lit(False)
+                keep = F.col(c).isin(*[value for value, _ in known]) if known else F.lit(False)
                 df = df.withColumn(c, F.when(keep, F.col(c)))
                 continue
-            # Too many values for one expression: look them up, frequent ones salted.
-            counts = level_table(df.sparkSession, levels, c).withColumnRenamed("value", c)
-            marked = counts.select(c, F.lit(True).alias("_known"))
             names = df.columns
-            df = salted_join(df, marked, c, counts, "left").select(
-                *[F.when(F.col("_known"), F.col(c)).alias(c) if name == c else F.col(name) for name in names]
-            )
+            marked = with_level(df, levels, c, F.col(c), F.lit(True), "_known")
+            kept = F.when(F.col("_known"), F.col(c)).alias(c)
+            df = marked.select(*[kept if name == c else F.col(name) for name in names])
         return df

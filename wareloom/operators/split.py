@@ -8,9 +8,19 @@ from pyspark.sql import functions as F
 from wareloom.functions.columns import hash_text
 from wareloom.operators.steps import Decision, Step
 
+# A target with more classes is no classification target; their names go to the driver.
+MAX_CLASSES = 1000
 PREFIX_STEP = 3  # hexadecimal digits looked at per refinement: 4096 ranges
 
 
+def class_sizes(df: DataFrame, column: str) -> dict:
+    """Rows per class, null as a class; refuses a column with too many values."""
+    rows = df.groupBy(F.col(column).alias("class")).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{column} has more than {MAX_CLASSES} classes")
+    return {r["class"]: r.n for r in rows}
+
+
 def allocate(counts: dict, total: int) -> dict:
     """Split ``total`` over classes in proportion, largest remainder first."""
     size = sum(counts.values())
@@ -96,7 +106,7 @@ class StratifiedSplit(Decision):
         target, key = self.option("target"), self.option("key")
         seed = self.option("seed", 25)
         hashed = df.select(F.col(target).alias("class"), hash_text(F.col(key), seed).alias("hash"))
-        counts = {r["class"]: r.n for r in hashed.groupBy("class").agg(F.count("*").alias("n")).collect()}
+        counts = class_sizes(hashed, "class")
         sizes = split_sizes(counts, tuple(self.option("shares", (0.6, 0.2))))
         cuts = rank_cut(hashed, {c: [t, t + v] for c, (t, v) in sizes.items()})
         table = [[c, cuts[(c, 0)], cuts[(c, 1)]] for c in counts]
@@ -119,8 +129,7 @@ class EncodeLabel(Decision):
 
     def _fit(self, df: DataFrame) -> Step:
         target = self.option("target")
-        # Class names of a classification target: a handful of rows.
-        classes = [r[0] for r in df.select(target).where(F.col(target).isNotNull()).distinct().collect()]
+        classes = class_sizes(df.where(F.col(target).isNotNull()), target)
         return ApplyLabel(target=target, classes=sorted(classes))
 
 
@@ -142,12 +151,10 @@ class ClassWeights(Decision):
 
     def _fit(self, df: DataFrame) -> Step:
         label = self.option("label", "label")
-        counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).collect()
-        total = sum(r.n for r in counts)
+        counts = class_sizes(df.where(F.col(label).isNotNull()), label)
+        total = sum(counts.values())
         inverse = self.option("inverse", False)
-        table = sorted(
-            [r[label], total / (len(counts) * r.n) if inverse else r.n / total] for r in counts
-        )
+        table = sorted([c, total / (len(counts) * n) if inverse else n / total] for c, n in counts.items())
         return ApplyWeights(label=label, weights=table)
 
 
@@ -167,7 +174,7 @@ class StratifiedFolds(Decision):
         target, key = self.option("target", "label"), self.option("key")
         seed, folds = self.option("seed", 25), self.option("folds", 10)
         hashed = df.select(F.col(target).alias("class"), hash_text(F.col(key), seed).alias("hash"))
-        counts = {r["class"]: r.n for r in hashed.groupBy("class").agg(F.count("*").alias("n")).collect()}
+        counts = class_sizes(hashed, "class")
         wanted = {c: [n * (i + 1) // folds for i in range(folds - 1)] for c, n in counts.items()}
         cuts = rank_cut(hashed, wanted)
         table = [[c, [cuts[(c, i)] for i in range(folds - 1)]] for c in counts]

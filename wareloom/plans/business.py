@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wareloom.functions.columns import log_amount
-from wareloom.operators.counts import top_rows, value_counts, weekday_counts, weekday_hours
+from wareloom.operators.counts import top_rows, weekday_counts, weekday_hours
 from wareloom.operators.entity import entity_aggregate
 from wareloom.operators.profile import density
 
@@ -15,13 +15,17 @@ LEVELS = {"product": "product_id", "seller": "seller_id", "site": "site_id"}
 
 
 def condition_shares(rows: DataFrame) -> DataFrame:
-    """(level, condition, n, share): entities per condition at each level."""
-    parts = []
-    for level, key in LEVELS.items():
-        entities = entity_aggregate(rows, key, modes=["condition"], ordered=False)
-        part = value_counts(entities, "condition", normalize=True)
-        parts.append(part.select(F.lit(level).alias("level"), "condition", "n", "share"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """(level, condition, n, share): entities per condition at each level, from one count of all levels."""
+    keys = F.array(
+        *[F.struct(F.lit(level).alias("level"), F.col(key).cast("string").alias("key")) for level, key in LEVELS.items()]
+    )
+    counted = rows.select("target", F.inline(keys)).groupBy("level", "key", "target").agg(F.count("*").alias("n"))
+    rank = F.struct(-F.col("n"), F.col("target").isNull(), F.col("target"))
+    entities = counted.groupBy("level", "key").agg(F.min_by("target", rank).alias("condition"))
+    counts = entities.where("condition is not null").groupBy("level", "condition").agg(F.count("*").alias("n"))
+    # One row per level and condition.
+    total = F.sum("n").over(Window.partitionBy("level"))
+    return counts.select("level", "condition", "n", (F.col("n") / total).alias("share"))
 
 
 def product_amounts(rows: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from wareloom.operators import decide as D
 from wareloom.operators import flatten as N
 from wareloom.operators.counts import schema_rows, shape
 from wareloom.operators.entity import entity_aggregate
-from wareloom.operators.select import MatchCategories, MatchColumns
+from wareloom.operators.select import MatchColumns
 from wareloom.plans.driver_tables import (
     DOCUMENT_SQL,
     FLAT_SQL,
@@ -57,10 +59,26 @@ def document_facts(docs):
     )
 
 
-@query("s1_json_lines", with_docs(f"SELECT {DOC_FACTS} FROM docs"))
+@query(
+    "s1_json_lines",
+    with_docs(
+        f"SELECT {DOC_FACTS}, CASE WHEN id[2:]::bigint % 2 = 0 THEN start_time ELSE date_trunc('second', start_time) END AS start_time, "
+        "stop_time FROM docs"
+    ),
+)
 def _json_lines(spark, sf_dir):
-    path = S.write_listings(listing_documents(spark, sf_dir), new_path(spark, "listings"))
-    return document_facts(S.read_listings(spark, path))
+    """Clock times as milliseconds in every other document, as text in the rest."""
+    docs = listing_documents(spark, sf_dir)
+    even = F.substring("id", 2, 20).cast("bigint") % 2 == 0
+    start, stop = F.col("start_time").cast("bigint"), F.try_to_timestamp("stop_time", F.lit(X.CLOCK_FORMAT))
+    numbers = docs.where(even).withColumns({"start_time": start, "stop_time": F.unix_millis(stop)})
+    texts = docs.where(~even).withColumn("start_time", F.date_format(F.timestamp_millis(start), X.CLOCK_FORMAT))
+    lines = [part.select(F.to_json(F.struct("*")).alias("line")) for part in (numbers, texts)]
+    path = new_path(spark, "listings")
+    lines[0].union(lines[1]).write.text(path)
+    read = S.read_listings(spark, path)
+    times = K.ParseTimes(patterns=["start_time", "stop_time"]).transform(read.select("id", "start_time", "stop_time"))
+    return document_facts(read).join(times, "id")
 
 
 @query("s2_frame_from_text", with_docs(f"SELECT {DOC_FACTS} FROM docs"))
@@ -275,40 +293,47 @@ def _dropped(spark, sf_dir):
     return step.transform(table(spark, sf_dir, "customer"))
 
 
+# Column -> expression, by type: what duplicate columns are looked for among.
 COPIES = {
-    "l_quantity": "l_quantity",
-    "quantity_copy": "l_quantity",
-    "quantity_partly": "CASE WHEN l_tax > 0.045 THEN l_quantity END",
-    "l_extendedprice": "l_extendedprice",
-    "empty_text": "CAST(NULL AS {text})",
-    "empty_number": "CAST(NULL AS double)",
-    "l_returnflag": "l_returnflag",
-    "flag_copy": "l_returnflag",
-    "l_linestatus": "l_linestatus",
+    "number": {
+        "l_quantity": "l_quantity",
+        "quantity_copy": "l_quantity",
+        "quantity_partly": "CASE WHEN l_tax > 0.045 THEN l_quantity END",
+        "quantity_elsewhere": "CASE WHEN l_tax <= 0.045 THEN l_quantity + 1 END",
+        "l_extendedprice": "l_extendedprice",
+        "empty_number": "CAST(NULL AS double)",
+        "other_empty_number": "CAST(NULL AS double)",
+    },
+    "text": {
+        "empty_text": "CAST(NULL AS {text})",
+        "l_returnflag": "l_returnflag",
+        "flag_copy": "l_returnflag",
+        "l_linestatus": "l_linestatus",
+    },
 }
+# An empty text stands before the empty numbers, which it must not take with it.
+COPY_ORDER = ["empty_text", *COPIES["number"], *[c for c in COPIES["text"] if c != "empty_text"]]
+COPY_COLUMNS = {c: text for columns in COPIES.values() for c, text in columns.items()}
 
 
 def copies(spark, sf_dir):
     line = table(spark, sf_dir, "lineitem")
-    return line.selectExpr(*[f"{text.format(text='string')} AS {c}" for c, text in COPIES.items()])
+    return line.selectExpr(*[f"{COPY_COLUMNS[c].format(text='string')} AS {c}" for c in COPY_ORDER])
 
 
+# Same type, nulls ignored, nothing in common counts as equal; a column without values equals others without.
 @query(
     "c4_duplicate_columns",
     "WITH t AS (SELECT "
-    + ", ".join(f"{text.format(text='varchar')} AS {c}" for c, text in COPIES.items())
-    + " FROM lineitem)"
+    + ", ".join(f"{COPY_COLUMNS[c].format(text='varchar')} AS {c}" for c in COPY_ORDER)
+    + " FROM lineitem) SELECT DISTINCT column_name FROM ("
     + " UNION ALL ".join(
-        f"SELECT '{b}' AS column_name FROM t HAVING coalesce(bool_and({a} = {b}), true)"
-        for a, b in [
-            ("l_quantity", "quantity_copy"),
-            ("l_quantity", "quantity_partly"),
-            ("l_quantity", "l_extendedprice"),
-            ("l_returnflag", "flag_copy"),
-            ("l_returnflag", "l_linestatus"),
-        ]
+        f"SELECT '{b}' AS column_name FROM t HAVING CASE WHEN count({a}) = 0 OR count({b}) = 0 "
+        f"THEN count({a}) = 0 AND count({b}) = 0 ELSE coalesce(bool_and({a} = {b}), true) END"
+        for columns in COPIES.values()
+        for a, b in combinations(sorted(columns, key=COPY_ORDER.index), 2)
     )
-    + " UNION ALL SELECT 'empty_number' FROM t HAVING count(empty_number) = 0 AND count(empty_text) = 0",
+    + ")",
 )
 def _duplicates(spark, sf_dir):
     found = D.duplicate_columns(copies(spark, sf_dir))
@@ -412,20 +437,6 @@ def _aligned(spark, sf_dir):
     return fitted.transform(orders.select("o_orderkey", "o_orderpriority", "o_orderstatus"))
 
 
-@query(
-    "c12_aligned_categories",
-    with_listing(
-        "SELECT product_id, CASE WHEN attribute_id IN (SELECT attribute_id FROM listing WHERE sold_quantity = 50) "
-        "THEN attribute_id END AS attribute_id, CASE WHEN listing_type IN "
-        "(SELECT listing_type FROM listing WHERE sold_quantity = 50) THEN listing_type END AS listing_type FROM listing"
-    ),
-)
-def _categories(spark, sf_dir):
-    rows = listing_rows(spark, sf_dir).select("product_id", "attribute_id", "listing_type", "sold_quantity")
-    fitted = MatchCategories(columns=["attribute_id", "listing_type"]).fit(rows.where("sold_quantity = 50"))
-    return fitted.transform(rows.drop("sold_quantity"))
-
-
 @query("c13_shape", with_listing("SELECT count(*) AS n_rows, 30::bigint AS n_columns FROM listing"))
 def _shape(spark, sf_dir):
     return shape(listing_rows(spark, sf_dir))
@@ -467,16 +478,21 @@ def _trimmed(spark, sf_dir):
 
 @query(
     "k3_parsed_times",
-    """SELECT o_orderkey, CASE WHEN o_totalprice > 20000 THEN o_orderdate END AS date_created,
-       o_orderdate + to_milliseconds(o_custkey) AS start_time, o_orderdate AS stop_time, o_totalprice AS due_time FROM orders""",
+    """SELECT o_orderkey, CASE WHEN o_totalprice > 20000 THEN o_orderdate + to_microseconds(o_custkey) END AS date_created,
+       CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate + to_milliseconds(o_custkey) ELSE o_orderdate END AS start_time,
+       o_orderdate + to_milliseconds(CASE WHEN o_orderkey % 2 = 1 THEN 1 ELSE 0 END) AS stop_time,
+       o_orderdate + to_milliseconds(o_custkey) AS made_time, o_totalprice AS due_time FROM orders""",
 )
 def _parsed(spark, sf_dir):
+    """Six-digit fractions, and both clock columns in both layouts: text and milliseconds."""
+    millis, clock = "unix_millis(cast(o_orderdate AS timestamp))", "date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')"
     orders = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
-        "CASE WHEN o_totalprice > 20000 THEN concat(' \"', date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\"), '\"') "
-        "ELSE 'soon' END AS date_created",
-        "unix_millis(cast(o_orderdate AS timestamp)) + o_custkey AS start_time",
-        "date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') AS stop_time",
+        "CASE WHEN o_totalprice > 20000 THEN concat(' \"', date_format(timestampadd(MICROSECOND, o_custkey, o_orderdate), "
+        "\"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\"), '\"') ELSE 'soon' END AS date_created",
+        f"CASE WHEN o_orderkey % 2 = 0 THEN cast({millis} + o_custkey AS string) ELSE {clock} END AS start_time",
+        f"CASE WHEN o_orderkey % 2 = 1 THEN cast({millis} + 1 AS string) ELSE {clock} END AS stop_time",
+        f"{millis} + o_custkey AS made_time",
         "o_totalprice AS due_time",
     )
     return K.ParseTimes().transform(orders)
@@ -546,12 +562,21 @@ def _conditional(spark, sf_dir):
 
 @query(
     "f5_parse_date_text",
-    "SELECT event_id, CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS moment FROM events",
+    "SELECT event_id, CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS moment, date_trunc('microsecond', ts) AS stamp, "
+    "date_trunc('millisecond', ts) AS short_stamp, date_trunc('millisecond', ts) AS number FROM events",
 )
 def _parse(spark, sf_dir):
+    """Both layouts, fractions of six and three digits, and milliseconds as text."""
     text = F.when(F.col("event_type") != "error", F.date_format("ts", X.CLOCK_FORMAT)).otherwise(F.lit("??"))
-    moment = X.parse_text_time(text, clock=True).cast("timestamp_ntz")
-    return table(spark, sf_dir, "events").select("event_id", moment.alias("moment"))
+    texts = {
+        "moment": (text, True),
+        "stamp": (F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"), False),
+        "short_stamp": (F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), False),
+        "number": (F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), True),
+    }
+    return table(spark, sf_dir, "events").select(
+        "event_id", *[X.parse_text_time(t, clock).cast("timestamp_ntz").alias(c) for c, (t, clock) in texts.items()]
+    )
 
 
 @query("f6_epoch_millis", "SELECT event_id, date_trunc('millisecond', ts) AS moment FROM events")
@@ -606,7 +631,7 @@ def _logarithm(spark, sf_dir):
     "SELECT l_orderkey, l_linenumber, round(l_extendedprice * l_quantity, 4) AS amount FROM lineitem",
 )
 def _product(spark, sf_dir):
-    amount = F.col("l_extendedprice") * F.col("l_quantity")
+    amount = X.amount(F.col("l_extendedprice"), F.col("l_quantity"))
     return rounded(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", amount.alias("amount")))
 
 

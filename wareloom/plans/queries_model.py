@@ -5,7 +5,9 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.ml import PipelineModel
+from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType
 
 from wareloom.operators import engineer as E
 from wareloom.operators import evaluate as M
@@ -24,11 +26,6 @@ from wareloom.sources.store import materialize, new_path
 
 KEY, TARGET = "product_id", "condition"
 
-# Tree counts of the registered training queries; the tuned values are the
-# defaults of the functions.
-QUICK = replace(BoostingParams(), rounds=8, max_depth=4)
-
-
 def products(spark, sf_dir, modes=None):
     """The stored product table, written once for the many fits that follow."""
     rows = entity_aggregate(listing_rows(spark, sf_dir), KEY, ordered=False, modes=modes)
@@ -102,14 +99,14 @@ def _train_val(spark, sf_dir):
 @query(
     "m10_stratified_folds",
     with_products(
-        "SELECT product_id, (SELECT count(*) FROM range(1, 5) f(i) WHERE place > n * i // 5)::int AS fold FROM "
+        "SELECT product_id, (SELECT count(*) FROM range(1, 10) f(i) WHERE place > n * i // 10)::int AS fold FROM "
         "(SELECT product_id, count(*) OVER (PARTITION BY condition) AS n, row_number() OVER "
         "(PARTITION BY condition ORDER BY md5('25:' || product_id::varchar)) AS place FROM entity)"
     ),
 )
 def _folds(spark, sf_dir):
     rows = products(spark, sf_dir, [TARGET]).select(KEY, TARGET)
-    folded = L.StratifiedFolds(target=TARGET, key=KEY, folds=5, seed=25).fit(rows).transform(rows)
+    folded = L.StratifiedFolds(target=TARGET, key=KEY, folds=10, seed=25).fit(rows).transform(rows)
     return folded.select(KEY, "fold")
 
 
@@ -190,11 +187,107 @@ def _matched_categories(spark, sf_dir):
     return fitted.transform(parted).select(KEY, "attribute_id")
 
 
-@query("v6_selection")
+@query(
+    "c12_aligned_categories",
+    with_products(
+        "SELECT product_id, "
+        + ", ".join(
+            f"CASE WHEN {c} IN (SELECT e.{c} FROM entity e JOIN parted p USING (product_id) WHERE p.split = 'train') THEN {c} END AS {c}"
+            for c in ["attribute_id", "listing_type"]
+        )
+        + " FROM entity",
+        SPLIT_SQL,
+    ),
+)
+def _aligned_categories(spark, sf_dir):
+    columns = ["attribute_id", "listing_type"]
+    rows = products(spark, sf_dir, [TARGET, *columns]).select(KEY, TARGET, *columns)
+    parted = L.StratifiedSplit(target=TARGET, key=KEY, seed=25).fit(rows).transform(rows)
+    fitted = V.MatchCategories(columns=columns).fit(W.training_rows(parted))
+    return fitted.transform(parted).select(KEY, *columns)
+
+
+# Which columns of the product table selection keeps, stated column by column.
+SELECT_TEXT = ["state", "shipping_mode", "listing_type", "buying_mode", "status", "currency"]
+SELECT_FLAGS = ["local_pickup", "free_shipping", "accepts_mercadopago", "automatic_relist"]
+SELECT_NUMBERS = ["available_quantity", "date_difference_hr", "stock_quantity", "time_difference_hr", "total_amount"]
+
+
+def _kept_sql() -> list[str]:
+    """CTEs ending in ``kept``: one row of flags ``k_<column>``."""
+    shares = ", ".join(
+        f"(SELECT coalesce(max(n), 0) FROM (SELECT count(*) AS n FROM train_rows WHERE {c} IS NOT NULL GROUP BY {c})) "
+        f"/ (SELECT count(*) FROM train_rows) >= 0.95 AS q_{c}"
+        for c in SELECT_TEXT + SELECT_FLAGS + SELECT_NUMBERS
+    )
+    kinds = ", ".join(
+        f"(SELECT count(DISTINCT {c}) + max(({c} IS NULL)::int) > 5 FROM train_rows) AS c_{c}" for c in SELECT_NUMBERS
+    )
+    strong = ", ".join(
+        f"(SELECT coalesce(abs(corr({a}, {b})) > 0.8, false) FROM train_rows) AS s_{a}_{b}"
+        for i, a in enumerate(SELECT_NUMBERS)
+        for b in SELECT_NUMBERS[i + 1 :]
+    )
+    steps, source = [], "decisions"
+    for i, c in enumerate(SELECT_NUMBERS):
+        # Numbers with few values are neither watched nor compared.
+        hit = " OR ".join(f"(k_{a} AND c_{a} AND s_{a}_{c})" for a in SELECT_NUMBERS[:i]) or "false"
+        steps.append(f"step_{i} AS (SELECT *, NOT c_{c} OR (NOT q_{c} AND NOT ({hit})) AS k_{c} FROM {source})")
+        source = f"step_{i}"
+    others = ", ".join(f"NOT q_{c} AS k_{c}" for c in SELECT_TEXT + SELECT_FLAGS)
+    return [
+        "train_rows AS (SELECT e.* FROM entity e JOIN parted p USING (product_id) WHERE p.split = 'train')",
+        f"decisions AS (SELECT {shares}, {kinds}, {strong})",
+        *steps,
+        f"kept AS (SELECT *, {others} FROM {source})",
+    ]
+
+
+KEPT_SQL = _kept_sql()
+LABEL_SQL = "(condition = 'used')::int::double AS label"
+
+
+def known_sql(c: str) -> str:
+    """A text value as it is after unseen ones became null."""
+    return f"CASE WHEN {c} IN (SELECT {c} FROM train_rows) THEN {c} END"
+
+
+def long_form(rows):
+    """(product_id, split, label, variable, text, number): one row per cell, whatever columns are left."""
+    cells = []
+    for f in rows.schema.fields:
+        if f.name in (KEY, TARGET, "split", "label"):
+            continue
+        number = isinstance(f.dataType, (DoubleType, LongType, IntegerType))
+        cells.append(
+            F.struct(
+                F.lit(f.name).alias("variable"),
+                (F.lit(None) if number else F.col(f.name)).cast("string").alias("text"),
+                F.round((F.col(f.name) if number else F.lit(None)).cast("double"), 4).alias("number"),
+            )
+        )
+    return rows.select(KEY, "split", "label", F.inline(F.array(*cells)))
+
+
+V6_SQL = " UNION ALL ".join(
+    [
+        f"SELECT product_id, split, {LABEL_SQL}, '{c}' AS variable, ({known_sql(c) if c in SELECT_TEXT else c})::varchar AS text, "
+        f"NULL::double AS number FROM entity JOIN parted USING (product_id, condition), kept WHERE k_{c}"
+        for c in SELECT_TEXT + SELECT_FLAGS
+    ]
+    + [
+        f"SELECT product_id, split, {LABEL_SQL}, '{c}', NULL, round({c}::double, 4) "
+        f"FROM entity JOIN parted USING (product_id, condition), kept WHERE k_{c}"
+        for c in SELECT_NUMBERS
+    ]
+)
+
+
+@query("v6_selection", with_products(V6_SQL, SPLIT_SQL, *KEPT_SQL))
 def _selection(spark, sf_dir):
     labelled = W.split_and_label(products(spark, sf_dir), KEY, TARGET)
     pipeline = W.selection_pipeline(W.training_rows(labelled), KEY, TARGET)
-    return W.fit_on_train(pipeline, labelled)[1]
+    return long_form(W.fit_on_train(pipeline, labelled)[1])
 
 
 # --- engineering --------------------------------------------------------------
@@ -219,16 +312,20 @@ def _imputed(spark, sf_dir):
 @query(
     "e1_imputation_many_levels",
     with_products(
-        """SELECT product_id, coalesce(attribute_id, drawn) AS attribute_id FROM
-        (SELECT product_id, attribute_id, (SELECT min(value) FROM shares WHERE u < high) AS drawn FROM
-          (SELECT *, ('0x' || substr(md5('25:attribute_id:' || product_id::varchar), 1, 13))::bigint / pow(16, 13) AS u FROM entity))""",
+        """SELECT id, coalesce(attribute_id, drawn) AS attribute_id, nothing FROM
+        (SELECT id, attribute_id, nothing, (SELECT min(value) FROM shares WHERE u < high) AS drawn FROM
+          (SELECT *, ('0x' || substr(md5('25:attribute_id:' || coalesce(id::varchar, '')), 1, 13))::bigint / pow(16, 13) AS u FROM holes))""",
+        """holes AS (SELECT CASE WHEN product_id % 50 <> 7 THEN product_id END AS id, attribute_id, NULL::varchar AS nothing FROM entity)""",
         """shares AS (SELECT attribute_id AS value, sum(count(*)) OVER (ORDER BY attribute_id) / sum(count(*)) OVER () AS high
-          FROM entity WHERE attribute_id IS NOT NULL GROUP BY 1)""",
+          FROM holes WHERE attribute_id IS NOT NULL GROUP BY 1)""",
     ),
 )
 def _imputed_many(spark, sf_dir):
-    rows = products(spark, sf_dir, ["attribute_id"]).select(KEY, "attribute_id")
-    fitted = E.RandomSampleImpute(columns=["attribute_id"], key=KEY, seed=25).fit(rows)
+    """Many levels, a column without any value and rows without an id."""
+    rows = products(spark, sf_dir, ["attribute_id"]).select(
+        F.when(F.col(KEY) % 50 != 7, F.col(KEY)).alias("id"), "attribute_id", F.lit(None).cast("string").alias("nothing")
+    )
+    fitted = E.RandomSampleImpute(columns=["attribute_id", "nothing"], key="id", seed=25).fit(rows)
     return fitted.transform(rows)
 
 
@@ -343,9 +440,52 @@ def _chain(spark, sf_dir):
     return W.fit_on_train(pipeline, labelled_rows)[1].select(KEY, "split", *CHAIN)
 
 
-@query("e5_engineered_matrix")
+RARE = ["state", "listing_type", "local_pickup", "shipping_mode"]
+
+
+def _matrix_sql() -> list[str]:
+    """CTEs of the whole chain over every column that selection may keep, ending in one table of codes each."""
+    drawn = "coalesce({known}, (SELECT min(value) FROM state_shares WHERE u < high))".format(known=known_sql("state"))
+    texts = ", ".join(f"({known_sql(c)}) AS {c}" for c in SELECT_TEXT if c != "state")
+    flags = ", ".join(f"{c}::varchar AS {c}" for c in SELECT_FLAGS)
+    parts = [
+        *KEPT_SQL,
+        "state_shares AS (SELECT state AS value, sum(count(*)) OVER (ORDER BY state) / sum(count(*)) OVER () AS high "
+        "FROM train_rows WHERE state IS NOT NULL GROUP BY 1)",
+        f"m_filled AS (SELECT product_id, split, {LABEL_SQL}, {drawn} AS state, {texts}, {flags}, {', '.join(SELECT_NUMBERS)} FROM "
+        "(SELECT *, ('0x' || substr(md5('25:state:' || product_id::varchar), 1, 13))::bigint / pow(16, 13) AS u "
+        "FROM entity JOIN parted USING (product_id, condition)))",
+        "m_train AS (SELECT * FROM m_filled WHERE split = 'train')",
+    ]
+    cells = []
+    for c in SELECT_TEXT + SELECT_FLAGS:
+        cells.append(f"{rare_sql(c, 2, 'm_train') if c in RARE else c} AS {c}")
+    for c in SELECT_NUMBERS:
+        cells.append(f"CASE WHEN c_{c} THEN ({binned_sql(c, 'm_train')})::varchar END AS {c}")
+        cells.append(f"{c}::double AS raw_{c}")
+    parts.append(f"m_grouped AS (SELECT product_id, split, label, {', '.join(cells)} FROM m_filled, kept)")
+    parts.append("m_grouped_train AS (SELECT * FROM m_grouped WHERE split = 'train')")
+    parts += [f"m_codes_{c} AS ({code_sql(c, 'm_grouped_train')})" for c in SELECT_TEXT + SELECT_FLAGS + SELECT_NUMBERS]
+    return parts
+
+
+E5_SQL = " UNION ALL ".join(
+    [
+        f"SELECT product_id, split, label, '{c}' AS variable, NULL::varchar AS text, "
+        f"(SELECT code FROM m_codes_{c} WHERE value = {c}) AS number FROM m_grouped, kept WHERE k_{c}"
+        for c in SELECT_TEXT + SELECT_FLAGS
+    ]
+    + [
+        f"SELECT product_id, split, label, '{c}', NULL, round(CASE WHEN c_{c} THEN (SELECT code FROM m_codes_{c} WHERE value = {c}) "
+        f"ELSE raw_{c} END, 4) FROM m_grouped, kept WHERE k_{c}"
+        for c in SELECT_NUMBERS
+    ]
+)
+
+
+@query("e5_engineered_matrix", with_products(E5_SQL, SPLIT_SQL, *_matrix_sql()))
 def _engineered(spark, sf_dir):
-    return W.prepare_matrix(products(spark, sf_dir), KEY, TARGET)[3]
+    return long_form(W.prepare_matrix(products(spark, sf_dir), KEY, TARGET)[3])
 
 
 @query("p1_own_stage", "SELECT c_custkey, c_acctbal + 1 AS c_acctbal FROM customer")
@@ -383,12 +523,8 @@ def scores(spark, sf_dir):
     f"WITH {SCORED_SQL} SELECT event_id, round(1 - score, 4) AS p0, score AS p1, (score >= 0.5)::int AS prediction FROM scored",
 )
 def _score_table(spark, sf_dir):
-    p1 = F.col("score")
-    return rounded(
-        scores(spark, sf_dir).select(
-            "event_id", (1 - p1).alias("p0"), p1.alias("p1"), (p1 >= 0.5).cast("int").alias("prediction")
-        )
-    )
+    rows = T.with_scores(scores(spark, sf_dir), F.col("score"))
+    return rounded(rows.select("event_id", "p0", "p1", "prediction"))
 
 
 AUC_SQL = (
@@ -486,82 +622,189 @@ def _report(spark, sf_dir):
 # --- training -----------------------------------------------------------------
 
 
-def matrix(spark, sf_dir):
-    """Model matrix and feature names of the product table."""
-    _, _, features, rows = W.prepare_matrix(products(spark, sf_dir), KEY, TARGET)
-    return rows, features
+#: Trained once per session and data folder, read by the queries below: (matrix, features, model, train-only model, curve).
+_TRAINED: dict = {}
 
 
-@query("m1_trained_scores")
-def _trained(spark, sf_dir):
-    flow = W.train_flow(products(spark, sf_dir), KEY, TARGET, replace(Settings(), boosting=QUICK))
-    return flow.scores.select(KEY, "split", "label", "p0", "p1", "prediction")
+def trained(spark, sf_dir):
+    """The tuned model over train and validation rows, with its matrix."""
+    name = (spark.sparkContext.applicationId, sf_dir, "both")
+    if name not in _TRAINED:
+        _, _, features, rows = W.prepare_matrix(products(spark, sf_dir), KEY, TARGET)
+        _TRAINED[name] = rows, features, T.train(rows, features)
+    return _TRAINED[name]
 
 
-@query("m3_trained_metrics")
-def _trained_metrics(spark, sf_dir):
-    flow = W.train_flow(products(spark, sf_dir), KEY, TARGET, replace(Settings(), boosting=QUICK))
-    return W.split_metrics(flow.scores)
+def stopped(spark, sf_dir):
+    """The model over training rows, cut at its best round on validation rows, and the curve."""
+    name = (spark.sparkContext.applicationId, sf_dir, "stopped")
+    if name not in _TRAINED:
+        rows, features, _ = trained(spark, sf_dir)
+        _TRAINED[name] = T.fit_with_early_stop(rows, features, BoostingParams())
+    return _TRAINED[name]
 
 
-@query("m9_importance")
-def _importance(spark, sf_dir):
-    rows, features = matrix(spark, sf_dir)
-    return T.importance(T.train(rows, features, QUICK), spark)
+def in_range(c):
+    return (F.col(c) >= 0) & (F.col(c) <= 1)
 
 
-@query("m10_cross_validation")
-def _cross_validation(spark, sf_dir):
-    rows, features = matrix(spark, sf_dir)
-    return T.cross_validate(rows, features, QUICK, KEY, folds=3)
+PARTS_SQL = "SELECT split, count(*) AS n, count(*) AS n_in_range"
 
 
-@query("m11_early_stopping")
-def _early_stopping(spark, sf_dir):
-    rows, features = matrix(spark, sf_dir)
-    model = T.fit_with_early_stop(rows, features, QUICK)
-    return T.scored(model, rows).select(KEY, "split", "label", "p1")
+# Scores of trees have no SQL. The queries return facts that are computed from
+# them, and the statements say what the facts must be.
+@query(
+    "m1_trained_scores",
+    with_products(
+        f"SELECT product_id, split, {LABEL_SQL}, true AS in_range, true AS sums_to_one, true AS decided "
+        "FROM entity JOIN parted USING (product_id, condition)",
+        SPLIT_SQL,
+    ),
+)
+def _trained(spark, sf_dir):
+    rows, _, model = trained(spark, sf_dir)
+    return T.scored(model, rows).select(
+        KEY,
+        "split",
+        "label",
+        (in_range("p0") & in_range("p1")).alias("in_range"),
+        (F.abs(F.col("p0") + F.col("p1") - 1) < 1e-12).alias("sums_to_one"),
+        (F.col("prediction") == (F.col("p1") >= 0.5).cast("int")).alias("decided"),
+    )
 
 
-@query("m12_engineering_search")
-def _engineering_search(spark, sf_dir):
-    labelled_rows = W.split_and_label(products(spark, sf_dir), KEY, TARGET)
-    pipeline = W.selection_pipeline(W.training_rows(labelled_rows), KEY, TARGET)
-    selected = materialize(W.fit_on_train(pipeline, labelled_rows)[1], "selected")
-    quick = replace(QUICK, rounds=4)
-    return W.search_engineering(selected, KEY, TARGET, quick, trials=2, folds=2)
+@query(
+    "m3_trained_metrics",
+    with_products(
+        "SELECT split, 'used' AS positive_class, true AS auc_matches, true AS loss_matches, true AS better_than_chance "
+        "FROM parted GROUP BY split",
+        SPLIT_SQL,
+    ),
+)
+def _trained_metrics(spark, sf_dir):
+    """Metrics per split beside the same from the ranks and losses of the scores."""
+    rows, _, model = trained(spark, sf_dir)
+    scores_ = T.scored(model, rows)
+    by_split = Window.partitionBy("split")
+    ranked = scores_.withColumn(
+        "place",
+        F.rank().over(by_split.orderBy("p1")) + (F.count("*").over(Window.partitionBy("split", "p1")) - 1) / 2,
+    )
+    pos, neg = F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)
+    again = ranked.groupBy("split").agg(
+        ((F.sum(F.when(F.col("label") == 1, F.col("place"))) - pos * (pos + 1) / 2) / (pos * neg)).alias("auc_again"),
+        F.avg(-F.ln(F.when(F.col("label") == 1, F.col("p1")).otherwise(F.col("p0")))).alias("loss_again"),
+    )
+    return W.split_metrics(scores_).join(again, "split").select(
+        "split",
+        "positive_class",
+        (F.abs(F.col("auc") - F.col("auc_again")) < 1e-9).alias("auc_matches"),
+        (F.abs(F.col("log_loss") - F.col("loss_again")) < 1e-9).alias("loss_matches"),
+        ((F.col("split") == "test") | (F.col("auc") > 0.5)).alias("better_than_chance"),
+    )
 
 
-@query("m13_boosting_search")
-def _boosting_search(spark, sf_dir):
-    rows, features = matrix(spark, sf_dir)
-    return T.search_boosting(rows, features, replace(QUICK, rounds=5), trials=3)
+@query(
+    "m9_importance",
+    "SELECT 1.0::double AS total_gain, 0::bigint AS n_negative, 0::bigint AS n_unknown, true AS sorted FROM region LIMIT 1",
+)
+def _importance(spark, sf_dir):
+    rows, features, model = trained(spark, sf_dir)
+    gains = T.importance(model, spark)
+    order = [r.gain for r in gains.collect()]
+    return rounded(
+        gains.agg(
+            F.sum("gain").alias("total_gain"),
+            F.count_if(F.col("gain") < 0).alias("n_negative"),
+            F.count_if(~F.col("feature").isin(*rows.columns) | ~F.col("feature").isin(*features)).alias("n_unknown"),
+            F.lit(order == sorted(order, reverse=True)).alias("sorted"),
+        ),
+        6,
+    )
 
 
-@query("m14_learning_curve")
+@query(
+    "m11_early_stopping",
+    with_products(
+        f"{PARTS_SQL}, true AS kept_up_to_best, true AS patience_kept FROM parted GROUP BY split",
+        SPLIT_SQL,
+    ),
+)
+def _early_stopping(spark, sf_dir):
+    """The cut model scores all rows; its rounds end at the best area, and no better one came within the patience."""
+    rows = trained(spark, sf_dir)[0]
+    model, curve = stopped(spark, sf_dir)
+    kept = len(T.booster_of(model).trees)
+    areas = [auc for _, auc in curve]
+    ahead = areas[kept : kept + 25]
+    return (
+        T.scored(model, rows)
+        .groupBy("split")
+        .agg(F.count("*").alias("n"), F.count_if(in_range("p1")).alias("n_in_range"))
+        .withColumn("kept_up_to_best", F.lit(areas[kept - 1] == max(areas[:kept])))
+        .withColumn("patience_kept", F.lit(all(auc <= areas[kept - 1] for auc in ahead)))
+    )
+
+
+@query(
+    "m14_learning_curve",
+    with_products(
+        "SELECT split, 93::bigint AS n_rounds, true AS areas_in_range, true AS last_loss_matches, true AS last_area_close "
+        "FROM parted WHERE split <> 'test' GROUP BY split",
+        SPLIT_SQL,
+    ),
+)
 def _learning_curve(spark, sf_dir):
-    rows, features = matrix(spark, sf_dir)
-    model = T.train(rows.where("split = 'train'"), features, QUICK)
-    return T.learning_curve(model, rows.where("split IN ('train', 'val')"), ["split"])
+    """The curve's last round against the metrics of the whole model."""
+    rows, _, model = trained(spark, sf_dir)
+    some = rows.where("split IN ('train', 'val')")
+    curve = T.learning_curve(model, some, ["split"])
+    last = F.max_by(F.struct("auc", "log_loss"), "round")
+    ends = curve.groupBy("split").agg(
+        F.count("*").alias("n_rounds"), F.bool_and(in_range("auc")).alias("areas_in_range"), last.alias("last")
+    )
+    whole = W.split_metrics(T.scored(model, some)).select("split", "auc", "log_loss")
+    return ends.join(whole, "split").select(
+        "split",
+        "n_rounds",
+        "areas_in_range",
+        (F.abs(F.col("last.log_loss") - F.col("log_loss")) < 1e-9).alias("last_loss_matches"),
+        (F.abs(F.col("last.auc") - F.col("auc")) < 1e-3).alias("last_area_close"),
+    )
 
 
-@query("m15_refit_at_best_round")
+@query(
+    "m15_refit_at_best_round",
+    with_products(f"{PARTS_SQL}, true AS rounds_match, true AS one_best FROM parted GROUP BY split", SPLIT_SQL),
+)
 def _refit(spark, sf_dir):
-    rows, features = matrix(spark, sf_dir)
-    model = T.train(rows.where("split = 'train'"), features, QUICK)
-    curve = T.learning_curve(model, rows.where("split = 'val'"), ["split"]).collect()
-    best = T.best_round([(r["round"], r.auc) for r in curve], patience=25)
-    final = T.train(rows, features, replace(QUICK, rounds=best + 1))
-    return W.split_metrics(T.scored(final, rows))
+    """A new model over train and validation rows with as many rounds as were best."""
+    rows, features, _ = trained(spark, sf_dir)
+    _, curve = stopped(spark, sf_dir)
+    best = T.best_round(curve, patience=25)
+    final = T.train(rows, features, replace(BoostingParams(), rounds=best + 1))
+    return (
+        T.scored(final, rows)
+        .groupBy("split")
+        .agg(F.count("*").alias("n"), F.count_if(in_range("p1")).alias("n_in_range"))
+        .withColumn("rounds_match", F.lit(len(T.booster_of(final).trees) == best + 1))
+        .withColumn("one_best", F.lit(sum(r == best for r, _ in curve) == 1))
+    )
 
 
-@query("m16_run_log")
+@query(
+    "m16_run_log",
+    f"""WITH {SCORED_SQL} SELECT 'given scores' AS name, '{{"source": "events"}}' AS params, 'auc' AS metric, round({AUC_SQL}, 4) AS value
+      FROM (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rank FROM scored)
+    UNION ALL SELECT 'given scores', '{{"source": "events"}}', 'log_loss', round(avg(-(label * ln(p) + (1 - label) * ln(1 - p))), 4) FROM
+      (SELECT *, least(greatest(score, 2.220446049250313e-16), 1 - 2.220446049250313e-16) AS p FROM scored)""",
+)
 def _run_log(spark, sf_dir):
     auc = M.roc_auc(scores(spark, sf_dir)).first().auc
     loss = M.log_loss(scores(spark, sf_dir)).first().log_loss
     path = new_path(spark, "runs")
     T.log_run(spark, path, "given scores", {"source": "events"}, {"auc": auc, "log_loss": loss})
-    return spark.read.parquet(path).select("name", "params", "metric", "value")
+    return rounded(spark.read.parquet(path).select("name", "params", "metric", "value"))
 
 
 @query(
@@ -576,13 +819,15 @@ def _saved_lists(spark, sf_dir):
     return E.CutBins.load(path).transform(rows)
 
 
-@query("s7_saved_model")
+@query("s7_saved_model", with_products("SELECT split, count(*) AS n, count(*) AS n_equal FROM parted GROUP BY split", SPLIT_SQL))
 def _saved_model(spark, sf_dir):
-    rows, features = matrix(spark, sf_dir)
-    model = T.train(rows, features, QUICK)
+    """Scores of the saved and loaded model against those of the one in memory, row by row."""
+    rows, _, model = trained(spark, sf_dir)
     path = new_path(spark, "model")
     model.write().overwrite().save(path)
-    return T.scored(PipelineModel.load(path), rows).select(KEY, "split", "label", "p1")
+    loaded = T.scored(PipelineModel.load(path), rows).select(KEY, "split", F.col("p1").alias("again"))
+    both = T.scored(model, rows).select(KEY, "p1").join(loaded, KEY)
+    return both.groupBy("split").agg(F.count("*").alias("n"), F.count_if(F.col("p1") == F.col("again")).alias("n_equal"))
 
 
 @query(

@@ -10,7 +10,7 @@ from wareloom.operators import association as A
 from wareloom.operators import counts as C
 from wareloom.operators import profile as P
 from wareloom.operators.ranks import empirical_cdf, value_counts_long
-from wareloom.plans.driver_tables import facts, listing_rows, table
+from wareloom.plans.driver_tables import listing_rows, table
 from wareloom.plans.queries_tables import density_sql
 from wareloom.plans.registry import query, rounded
 from wareloom.plans.sql_texts import with_listing
@@ -19,7 +19,7 @@ NUMBERS = ["l_quantity", "l_extendedprice", "l_discount"]
 
 
 def line(spark, sf_dir):
-    return facts(spark, sf_dir, "lineitem").select(*NUMBERS)
+    return table(spark, sf_dir, "lineitem").select(*NUMBERS)
 
 
 def each(template: str, columns=NUMBERS, glue: str = " UNION ALL ") -> str:
@@ -199,12 +199,13 @@ def _moments(spark, sf_dir):
 
 @query(
     "x10_density",
-    "WITH numbers AS (SELECT 'c_acctbal' AS variable, c_acctbal AS value FROM customer), "
+    "WITH numbers AS (SELECT 'price' AS variable, l_extendedprice / 1000 AS value FROM lineitem), "
     + density_sql("numbers", "variable")
     + " SELECT variable, point, x, density FROM density",
 )
 def _density(spark, sf_dir):
-    counts = value_counts_long(table(spark, sf_dir, "customer"), ["c_acctbal"])
+    price = (F.col("l_extendedprice") / 1000).alias("price")
+    counts = value_counts_long(table(spark, sf_dir, "lineitem").select(price), ["price"])
     return rounded(P.density(counts, ["variable"]))
 
 
@@ -215,12 +216,11 @@ def _density(spark, sf_dir):
       min({c}) FILTER ({c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))::double AS whisker_low,
       max({c}) FILTER ({c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))::double AS whisker_high,
       count(*) FILTER ({c} NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS n_outliers
-      FROM events, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS q2, quantile_cont({c}, 0.75) AS q3 FROM events)""",
-        ["value", "user_id"],
+      FROM lineitem, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS q2, quantile_cont({c}, 0.75) AS q3 FROM lineitem)"""
     ),
 )
 def _box(spark, sf_dir):
-    return rounded(P.box_stats(table(spark, sf_dir, "events"), ["value", "user_id"]))
+    return rounded(P.box_stats(line(spark, sf_dir), NUMBERS))
 
 
 FREQUENT = ["state", "listing_type", "shipping_mode", "attribute_id"]

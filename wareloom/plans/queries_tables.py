@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wareloom.functions.columns import hours_between
+from wareloom.functions.columns import amount, hours_between
 from wareloom.operators import counts as C
 from wareloom.operators.entity import entity_aggregate, group_modes
 from wareloom.operators.profile import basic_stats
 from wareloom.operators.ranks import exact_quantiles
 from wareloom.plans import business as B
-from wareloom.plans.driver_tables import facts, listing_rows, places, table
+from wareloom.plans.driver_tables import listing_rows, places, table
 from wareloom.plans.registry import query, rounded
 from wareloom.plans.sql_texts import entity_part, stored_columns, with_listing
 from wareloom.schema import TIME_COLUMNS, WEEKDAY_LABELS, WEEKDAYS
@@ -102,16 +102,18 @@ def _firsts(spark, sf_dir):
 
 @query(
     "a4_sums_null_as_zero",
-    """SELECT l_returnflag, coalesce(sum(CASE WHEN l_returnflag <> 'N' THEN l_quantity END), 0)::bigint AS total
-       FROM lineitem GROUP BY 1""",
+    with_listing(
+        "SELECT listing_type, coalesce(sum(CASE WHEN listing_type <> '1-urgent' THEN sold_quantity END), 0)::bigint AS total_quantity, "
+        "sum(initial_quantity)::bigint AS stock_quantity FROM listing GROUP BY 1"
+    ),
 )
 def _sums(spark, sf_dir):
-    part = F.when(F.col("l_returnflag") != "N", F.col("l_quantity"))
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_returnflag")
-        .agg(F.coalesce(F.sum(part), F.lit(0)).cast("bigint").alias("total"))
+    """A type without any quantity sums to zero."""
+    rows = listing_rows(spark, sf_dir).withColumn(
+        "sold_quantity", F.when(F.col("listing_type") != "1-urgent", F.col("sold_quantity"))
     )
+    sums = entity_aggregate(rows, "listing_type", modes=[], keep_helpers=True, ordered=False)
+    return sums.select("listing_type", "total_quantity", "stock_quantity")
 
 
 @query(
@@ -221,7 +223,7 @@ def _grouped_stats(spark, sf_dir):
        round(quantile_cont(l_extendedprice, 0.9), 4) AS q90 FROM lineitem""",
 )
 def _scalars(spark, sf_dir):
-    line = facts(spark, sf_dir, "lineitem").select("l_extendedprice")
+    line = table(spark, sf_dir, "lineitem").select("l_extendedprice")
     stats = basic_stats(line, ["l_extendedprice"]).drop("n")
     quantiles = exact_quantiles(line, ["l_extendedprice"], [0.5, 0.9])
     return rounded(
@@ -373,9 +375,16 @@ TOP_SQL = with_listing(
 )
 
 
-@query("o2_top_products", TOP_SQL)
+@query(
+    "o2_top_products",
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 10000 <> 7 THEN o_totalprice END AS amount FROM orders "
+    "ORDER BY amount DESC NULLS FIRST, o_orderkey LIMIT 10",
+)
 def _top(spark, sf_dir):
-    return rounded(B.top_revenue(listing_rows(spark, sf_dir)))
+    """Missing amounts come first."""
+    amount = F.when(F.col("o_orderkey") % 10000 != 7, F.col("o_totalprice"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", amount.alias("amount"))
+    return C.top_rows(orders, "amount", "o_orderkey", 10)
 
 
 @query("b9_top_revenue_titles", TOP_SQL)
@@ -445,7 +454,7 @@ def _derived(spark, sf_dir):
         listing_rows(spark, sf_dir).select(
             "product_id",
             "seller_id",
-            (F.col("price") * F.col("sold_quantity")).alias("amount"),
+            amount(F.col("price"), F.col("sold_quantity")).alias("amount"),
             hours_between(F.col("date_created"), F.col("last_updated")).alias("date_difference_hr"),
             hours_between(F.col("start_time"), F.col("stop_time")).alias("time_difference_hr"),
         )
@@ -513,18 +522,21 @@ def _amounts(spark, sf_dir):
     return rounded(B.product_amounts(listing_rows(spark, sf_dir)))
 
 
-def density_sql(values: str, by: str, points: int = 200) -> str:
-    """Gaussian density over the rows ``(by, value)`` of the CTE ``values``."""
+def density_sql(values: str, by: str, points: int = 200, bins: int = 2048) -> str:
+    """Gaussian density over the rows ``(by, value)`` of the CTE ``values``, counted in bins first."""
     return f"""spans AS (
-  SELECT {by}, count(*) AS total, stddev_samp(value) * pow(count(*), -0.2) AS width, min(value) AS low, max(value) AS high
-  FROM {values} GROUP BY {by}),
+  SELECT {by}, count(*) AS total, stddev_samp(value) * pow(count(*), -0.2) AS width, min(value) AS low, max(value) AS high,
+    (max(value) - min(value)) / {bins} AS bin_width FROM {values} GROUP BY {by}),
+binned AS (
+  SELECT v.{by}, low + (least(floor((value - low) / bin_width), {bins - 1}) + 0.5) * bin_width AS value, count(*) AS n
+  FROM {values} v JOIN spans s ON v.{by} = s.{by} GROUP BY 1, 2),
 grid AS (
   SELECT {by}, total, width, point, low - 3 * width + point * ((high - low + 6 * width) / {points - 1}) AS x
   FROM spans, (SELECT unnest(range({points}))::int AS point)),
 density AS (
   SELECT g.{by}, point, round(x, 4) AS x,
-    round(sum(exp(-pow((x - value) / width, 2) / 2)) / any_value(total * width * sqrt(2 * pi())), 4) AS density
-  FROM grid g JOIN {values} v ON g.{by} = v.{by} GROUP BY g.{by}, point, x)"""
+    round(sum(n * exp(-pow((x - value) / width, 2) / 2)) / any_value(total * width * sqrt(2 * pi())), 4) AS density
+  FROM grid g JOIN binned v ON g.{by} = v.{by} GROUP BY g.{by}, point, x)"""
 
 
 @query(

@@ -62,6 +62,10 @@ def selection_pipeline(train_rows: DataFrame, key: str, target: str, settings: S
     )
 
 
+def engineered_kinds(train_rows: DataFrame, key: str, target: str) -> dict[str, list[str]]:
+    return variable_kinds(FlagsToText().transform(train_rows), exclude=tuple(carried(key, target)))
+
+
 def engineering_pipeline(
     train_rows: DataFrame,
     key: str,
@@ -69,10 +73,13 @@ def engineering_pipeline(
     lists: EngineeringLists = EngineeringLists(),
     params: EngineeringParams = EngineeringParams(),
     seed: int = 25,
+    kinds: dict[str, list[str]] | None = None,
 ) -> tuple[Pipeline, list[str]]:
-    """Impute, group rare levels, bin numbers, encode by target order."""
-    skip = carried(key, target)
-    kinds = variable_kinds(FlagsToText().transform(train_rows), exclude=tuple(skip))
+    """Impute, group rare levels, bin numbers, encode by target order.
+
+    ``kinds`` of the columns are looked up in the rows unless given.
+    """
+    kinds = kinds or engineered_kinds(train_rows, key, target)
     features = kinds["continuous"] + kinds["categorical"]
     pipeline = Pipeline(
         stages=[
@@ -158,9 +165,11 @@ def search_engineering(
         for _ in range(trials)
     ]
 
+    kinds = engineered_kinds(training_rows(selected), key, target)
+
     def one(item: tuple[int, EngineeringParams]) -> tuple:
         number, params = item
-        pipeline, features = engineering_pipeline(training_rows(selected), key, target, lists, params, seed)
+        pipeline, features = engineering_pipeline(training_rows(selected), key, target, lists, params, seed, kinds)
         _, encoded = fit_on_train(pipeline, selected)
         matrix = materialize(encoded, "trial")
         curve = cross_validate(matrix, features, boosting, key, folds, patience, parallelism=1)

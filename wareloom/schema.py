@@ -38,7 +38,7 @@ LISTING_SCHEMA = struct(
     automatic_relist=FLAG,
     date_created=TEXT,
     last_updated=TEXT,
-    start_time=WHOLE,
+    start_time=TEXT,  # the two clock times come as text or as milliseconds
     stop_time=TEXT,
     sub_status=T.ArrayType(TEXT),
     deal_ids=T.ArrayType(TEXT),
