@@ -50,6 +50,19 @@ def test_times_by_name_and_type(spark):
     assert first.time_share == 1.5
 
 
+def test_times_in_either_layout(spark):
+    df = spark.createDataFrame(
+        [("1446669773000", 1446669773000, "2015-11-04 20:42:53"), ("2015-11-04 20:42:53", None, "-1000")],
+        "start_time string, stop_time bigint, other_time string",
+    ).select("start_time", "stop_time", F.col("other_time").alias("stop_time_text"))
+    rows = ParseTimes().transform(df.withColumnRenamed("stop_time_text", "Stop_Time2")).collect()
+    assert rows[0].start_time == rows[0].stop_time == rows[1].start_time == datetime(2015, 11, 4, 20, 42, 53)
+    texts = ["2015-09-05T20:42:58.1Z", "2015-09-05T20:42:58.123456Z", "2015-09-05T20:42:58.123456789Z", "2015-09-05T20:42:58Z"]
+    dates = spark.createDataFrame([(t,) for t in texts], "date_created string")
+    got = [r.date_created for r in ParseTimes().transform(dates).collect()]
+    assert [g and g.microsecond for g in got] == [100000, 123456, 123456, None]
+
+
 def test_names_are_normalized_and_clashes_refused(spark):
     df = spark.createDataFrame([(1, 2)], "` A b` int, C int")
     assert NormalizeNames().transform(df).columns == ["a_b", "c"]
@@ -74,15 +87,16 @@ def test_unneeded_columns(spark):
 
 def test_duplicate_columns_ignore_nulls(spark):
     df = spark.createDataFrame(
-        [(1, 1, 1, None, 2, None, "x", None, None), (2, 2, None, 5, 1, None, "y", None, None)],
-        "a int, copy int, partly int, apart int, other int, empty int, t string, void string, void2 double",
+        [(1, 1, 1, None, 2, None, "x", None, None, None), (2, 2, None, 5, 1, None, "y", None, None, None)],
+        "a int, copy int, partly int, apart int, other int, empty int, t string, void string, void2 double, void3 double",
     )
-    # "partly" and "apart" never meet, so they count as equal.
-    assert duplicate_columns(df) == ["copy", "partly", "apart", "void", "void2"]
-    assert duplicate_columns(df, require_overlap=True) == ["copy", "partly", "void", "void2"]
+    # "partly" and "apart" never meet, so they count as equal; empty columns meet those of their type only.
+    assert duplicate_columns(df) == ["copy", "partly", "apart", "void3"]
+    assert duplicate_columns(df, require_overlap=True) == ["copy", "partly", "void3"]
+    assert duplicate_columns(df, empty_equals_all=True) == ["copy", "partly", "apart", "empty", "void", "void3"]
 
 
-def test_difference_beyond_the_probe_is_found(spark):
+def test_one_differing_row_is_found(spark):
     df = spark.range(5000).select(F.col("id").alias("a"), F.when(F.col("id") == 4999, -1).otherwise(F.col("id")).alias("b"))
     assert duplicate_columns(df.coalesce(1)) == []
 

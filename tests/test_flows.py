@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from check_queries import compare, connect
 from wareloom.operators.clean import DistinctRows
-from wareloom.plans.driver_tables import listing_documents
-from wareloom.plans.preprocessing import cluster_documents, preprocess, preprocessing_stages
+from wareloom.operators.entity import entity_aggregate
+from wareloom.plans import preprocessing
+from wareloom.plans.business import condition_shares
+from wareloom.plans.driver_tables import listing_documents, listing_rows
+from wareloom.plans.preprocessing import document_parts, preprocess, preprocessing_stages
 from wareloom.sources.listings import write_listings
 from wareloom.streaming.apply import apply_stages, read_listing_stream, row_stages
 
@@ -49,17 +52,40 @@ def test_fitted_stages_save_load_and_freeze_the_schema(spark, tmp_path):
     assert few.columns == table.columns
 
 
-def test_hot_id_takes_the_other_path_with_the_same_result(spark, monkeypatch):
+def test_hot_id_is_a_part_of_its_own_with_the_same_result(spark):
     docs = listing_documents(spark, SF)
     copies = docs.where("id = 'L1'").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(700)))).drop("copy")
     many = docs.unionByName(copies)
-    assert "REPARTITION_BY_COL" in plan_of(cluster_documents(docs))
-    assert "REPARTITION_BY_COL" not in plan_of(cluster_documents(many))
+    (whole,) = document_parts(docs)
+    assert "REPARTITION_BY_COL" in plan_of(whole)
+    rest, hot = document_parts(many)
+    assert "REPARTITION_BY_COL" in plan_of(rest) and "REPARTITION_BY_COL" not in plan_of(hot)
+    assert {r.id for r in hot.collect()} == {"L1"} and rest.count() == docs.count() - 1
     _, once = preprocess(docs)
     _, hot = preprocess(many)
     assert hot.exceptAll(once).count() == 0 and hot.count() == once.count()
 
 
+def test_unneeded_columns_are_not_written(spark, monkeypatch):
+    written = []
+    real = preprocessing.materialize
+    monkeypatch.setattr(preprocessing, "materialize", lambda df, name: written.append((name, df.columns)) or real(df, name))
+    preprocess(listing_documents(spark, SF))
+    (columns,) = [c for name, c in written if name == "distinct"]
+    assert not [c for c in columns if "pic_" in c or "thumbnail" in c or c in ("permalink", "descriptions")]
+
+
+def test_entities_read_the_rows_once(spark):
+    plan = plan_of(entity_aggregate(listing_rows(spark, SF), "product_id"))
+    assert plan.count("/lineitem.parquet") == 1
+    shares = plan_of(condition_shares(listing_rows(spark, SF)))
+    assert shares.count("/lineitem.parquet") == 1
+
+
+def test_no_plan_deals_rows_out_in_turn(spark):
+    assert "RoundRobin" not in plan_of(listing_rows(spark, SF)) + plan_of(listing_documents(spark, SF))
+
+
 def plan_of(df):
     text = io.StringIO()
     with contextlib.redirect_stdout(text):
@@ -68,8 +94,7 @@ def plan_of(df):
 
 
 def test_distinct_of_clustered_documents_moves_no_exploded_rows(spark):
-    docs = cluster_documents(listing_documents(spark, SF))
-    rows = docs
+    (rows,) = document_parts(listing_documents(spark, SF))
     for stage in preprocessing_stages()[:3]:
         rows = stage.transform(rows)
     lines = plan_of(rows.dropDuplicates()).splitlines()

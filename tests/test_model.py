@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter
 from dataclasses import replace
@@ -14,6 +15,7 @@ from wareloom.operators import split as L
 from wareloom.operators import train as T
 from wareloom.plans import training as W
 from wareloom.settings import BoostingParams, Settings
+from wareloom.sources import store
 
 
 def classes(spark, sizes):
@@ -96,9 +98,17 @@ def test_matching_columns_adds_typed_nulls(spark):
     assert dict(out.dtypes)["x"] == "double"
 
 
-@pytest.mark.parametrize("small", [10_000, 3])
-def test_unseen_categories_become_null(spark, monkeypatch, small):
-    monkeypatch.setattr(V, "freeze_levels", lambda long, name: fitted.freeze_levels(long, name, per_column=small))
+LIMITS = pytest.mark.parametrize("inline, small", [(64, 10_000), (1, 10_000), (1, 2)])
+
+
+def limit_levels(monkeypatch, inline, small):
+    monkeypatch.setattr(fitted, "INLINE", inline)
+    monkeypatch.setattr(fitted, "SMALL", small)
+
+
+@LIMITS
+def test_unseen_categories_become_null(spark, monkeypatch, inline, small):
+    limit_levels(monkeypatch, inline, small)
     rows = [(i, "hot" if i % 3 else f"v{i % 20}", "u") for i in range(300)]
     df = spark.createDataFrame(rows, "id int, c string, d string").repartition(4)
     model = V.MatchCategories(columns=["c", "d"]).fit(df)
@@ -108,10 +118,43 @@ def test_unseen_categories_become_null(spark, monkeypatch, small):
     assert model.transform(df).where("c is null").count() == 0
 
 
-@pytest.mark.parametrize("inline, small", [(64, 10_000), (1, 10_000), (1, 2)])
+@LIMITS
+def test_imputation_keeps_every_row(spark, monkeypatch, inline, small):
+    """Also rows without an id, next to a column without any value and with names like the helper's."""
+    limit_levels(monkeypatch, inline, small)
+    rows = [(None if i % 50 == 0 else i, None if i % 3 else f"v{i % 90}", None, i) for i in range(900)]
+    df = spark.createDataFrame(rows, "id int, c string, nothing string, value int").repartition(4)
+    model = E.RandomSampleImpute(columns=["nothing", "c"], key="id", seed=25).fit(df)
+    out = model.transform(df).collect()
+    assert sorted(r.value for r in out) == list(range(900))
+    assert all(r.c is not None and r.nothing is None for r in out)
+    assert model.transform(df.limit(0)).count() == 0
+
+
+@LIMITS
+def test_saved_stages_take_their_levels_along(spark, monkeypatch, tmp_path, inline, small):
+    limit_levels(monkeypatch, inline, small)
+    root = tmp_path / "checkpoints"
+    monkeypatch.setattr(fitted, "new_path", lambda spark, name: f"{root}/{name}")
+    df = spark.createDataFrame([(i, None if i % 4 else f"v{i % 40}", float(i % 2)) for i in range(400)], "id int, c string, label double")
+    stages = [
+        V.MatchCategories(columns=["c"]).fit(df),
+        E.RandomSampleImpute(columns=["c"], key="id").fit(df),
+        E.TargetOrder(columns=["c"], label="label").fit(df),
+    ]
+    path, again = str(tmp_path / "saved"), str(tmp_path / "again")
+    want = PipelineModel(stages).transform(df).collect()
+    PipelineModel(stages).write().overwrite().save(path)
+    root.rename(tmp_path / "gone")
+    loaded = PipelineModel.load(path)
+    assert sorted(loaded.transform(df).collect()) == sorted(want)
+    loaded.write().overwrite().save(again)
+    assert sorted(PipelineModel.load(again).transform(df).collect()) == sorted(want)
+
+
+@LIMITS
 def test_imputation_draws_observed_values_only(spark, monkeypatch, inline, small):
-    monkeypatch.setattr(E, "INLINE", inline)
-    monkeypatch.setattr(E, "freeze_levels", lambda long, name: fitted.freeze_levels(long, name, per_column=small))
+    limit_levels(monkeypatch, inline, small)
     rows = [(i, None if i % 2 else ("a" if i % 10 else "b" if i % 20 else "c")) for i in range(4000)]
     df = spark.createDataFrame(rows, "id int, c string")
     model = E.RandomSampleImpute(columns=["c"], key="id", seed=25).fit(df)
@@ -156,10 +199,9 @@ def test_bins_are_closed_on_the_right(spark):
     assert [r.x for r in model.transform(df).collect()] == [0, 0, 1, 6, 7, None]
 
 
-@pytest.mark.parametrize("inline, small", [(64, 10_000), (1, 10_000), (1, 2)])
+@LIMITS
 def test_codes_follow_the_target_mean(spark, monkeypatch, inline, small):
-    monkeypatch.setattr(E, "INLINE", inline)
-    monkeypatch.setattr(E, "freeze_levels", lambda long, name: fitted.freeze_levels(long, name, per_column=small))
+    limit_levels(monkeypatch, inline, small)
     rows = [("hi", 1.0), ("hi", 1.0), ("mid", 1.0), ("mid", 0.0), ("lo", 0.0), ("also_lo", 0.0), (None, 1.0)]
     df = spark.createDataFrame(rows, "c string, label double")
     model = E.TargetOrder(columns=["c"], label="label").fit(df)
@@ -247,11 +289,64 @@ def test_training_flow_learns_and_survives_saving(spark, tmp_path):
 
     curve = T.learning_curve(flow.model, flow.matrix.where("split = 'test'"), ["split"])
     last = max(curve.collect(), key=lambda r: r["round"])
-    assert last["round"] == 5 and last.auc == pytest.approx(metrics["test"].auc)
+    assert last["round"] == 5 and last.auc == pytest.approx(metrics["test"].auc, abs=1e-3)
+    assert last.log_loss == pytest.approx(metrics["test"].log_loss)
+
+    # The first rounds alone score as the curve says.
+    short = T.leading_trees(flow.model, 3)
+    third = [r for r in curve.collect() if r["round"] == 2][0]
+    tested = W.split_metrics(T.scored(short, flow.matrix.where("split = 'test'"))).first()
+    assert len(T.booster_of(short).trees) == 3 and tested.log_loss == pytest.approx(third.log_loss)
+    saved = str(tmp_path / "short")
+    short.write().overwrite().save(saved)
+    assert len(T.booster_of(PipelineModel.load(saved)).trees) == 3
     gains = T.importance(flow.model, spark).collect()
     assert sum(r.gain for r in gains) == pytest.approx(1.0)
 
 
+def test_stopping_searching_and_folding_on_few_rounds(spark):
+    settings = Settings()
+    _, _, features, matrix = W.prepare_matrix(entities(spark, 300), "product_id", "condition", settings)
+    few = replace(BoostingParams(), rounds=4, max_depth=2)
+    model, curve = T.fit_with_early_stop(matrix, features, few, patience=2)
+    best = T.best_round(curve, 2)
+    assert len(curve) == 4 and len(T.booster_of(model).trees) == best + 1
+    folds = T.cross_validate(matrix, features, few, "product_id", folds=2, patience=2).collect()
+    assert len(folds) == 4 and sum(r.best for r in folds) == 1
+    tried = T.search_boosting(matrix, features, replace(few, rounds=2), trials=2).collect()
+    assert len(tried) == 2 and tried[0].auc >= tried[1].auc
+
+
+def test_metrics_by_weight(spark):
+    rng = random.Random(4)
+    rows = [(rng.random(), int(rng.random() < 0.5), rng.choice([0.25, 1.0, 3.0])) for _ in range(300)]
+    df = spark.createDataFrame(rows, "score double, label int, weight double")
+    pos, neg = [(s, w) for s, y, w in rows if y], [(s, w) for s, y, w in rows if not y]
+    area = sum(a * b * ((p > q) + 0.5 * (p == q)) for p, a in pos for q, b in neg) / (sum(w for _, w in pos) * sum(w for _, w in neg))
+    assert M.roc_auc(df, weight="weight").first().auc == pytest.approx(area)
+    loss = sum(-w * math.log(s if y else 1 - s) for s, y, w in rows) / sum(w for *_, w in rows)
+    assert M.log_loss(df, weight="weight").first().log_loss == pytest.approx(loss)
+
+
+def test_too_many_classes_are_refused(spark):
+    with pytest.raises(ValueError):
+        L.EncodeLabel(target="id").fit(spark.range(2000))
+
+
+def test_rows_without_an_id_keep_the_split_exact(spark):
+    df = classes(spark, {"new": 100, "used": 50}).withColumn("id", F.when(F.col("id") != 7, F.col("id")))
+    found = Counter(r.split for r in L.StratifiedSplit(target="target", key="id", seed=1).fit(df).transform(df).collect())
+    assert found == {"train": 90, "val": 30, "test": 30}
+
+
+def test_written_tables_can_be_deleted(spark):
+    path = store.new_path(spark, "some")
+    spark.range(3).write.parquet(path)
+    assert store.cleanup(spark) >= 1 and store.cleanup(spark) == 0
+    with pytest.raises(Exception):
+        spark.read.parquet(path)
+
+
 def test_run_log_appends(spark, tmp_path):
     path = str(tmp_path / "runs")
     T.log_run(spark, path, "one", {"a": 1}, {"auc": 0.5})

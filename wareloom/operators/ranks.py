@@ -84,8 +84,9 @@ def _bins_of(df: DataFrame, ranges: list[tuple[str, float, float]]) -> dict[int,
     cells = []
     for i, (c, low, high) in enumerate(ranges):
         x = F.col(c).cast("double")
-        # Halves, because the width of a range may exceed the largest double.
-        place = F.floor((x / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2) * BINS)
+        # In halves where the width of a range exceeds the largest double.
+        half = 0.5 if math.isinf(high - low) else 1.0
+        place = F.floor((x * half - F.lit(low * half)) / F.lit(high * half - low * half) * BINS)
         inside = (x >= F.lit(low)) & (x <= F.lit(high))
         bin_ = F.least(place, F.lit(BINS - 1)).cast("int")
         cells.append(F.when(inside, F.struct(F.lit(i).alias("part"), bin_.alias("bin"), x.alias("x"))))
