@@ -111,6 +111,12 @@ def test_short_and_equal_sets_hash_alike():
     assert len(sets[4]) == 4 and len(sets[5]) == 0
 
 
+def test_slices_of_a_batch_hash_like_whole_texts():
+    texts = pa.array([f"Ünï{i} é WORD{i} ß {i} straße" for i in range(50)])
+    part = texts.slice(17, 20)
+    assert [s.tolist() for s in M.shingle_sets(part)] == [s.tolist() for s in M.shingle_sets(pa.array(part.to_pylist()))]
+
+
 def test_connected_components(spark):
     rng = random.Random(2)
     chain = [(i, i + 1) for i in range(100, 140)]

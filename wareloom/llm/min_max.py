@@ -26,14 +26,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wareloom.llm.common import materialize
-from wareloom.llm.tokens import text_batches
+from wareloom.llm.tokens import lowered_words, text_batches
 
 SHINGLE_WORDS = 4
 THRESHOLD = 80  # hundredths
@@ -55,15 +54,8 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    lowered = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    split = pc.ascii_split_whitespace(lowered)
-    flat = split.flatten()
-    filled = pc.greater(pc.binary_length(flat), 0)
-    at = split.offsets.to_numpy().astype(np.int64)
-    at = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])[at - at[0]]
-    coded = flat.filter(filled).dictionary_encode()
-    known = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
-    word = known[coded.indices.to_numpy(zero_copy_only=False)] if len(known) else known
+    code, at, distinct = lowered_words(texts)
+    word = np.array([xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()], np.uint64)[code]
     out = []
     with np.errstate(over="ignore"):
         m = max(0, len(word) - SHINGLE_WORDS + 1)

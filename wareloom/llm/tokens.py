@@ -133,6 +133,23 @@ class WordTokenizer:
         return ids, np.concatenate([[0], ends])[at - at[0]]
 
 
+def lowered_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words of all texts as codes, where each text begins (one more at the end), and the distinct words.
+
+    Words are runs of anything but ASCII white space, A-Z lower-cased; null has
+    none. Case is changed in the word list only: the kernel misreads sliced texts.
+    """
+    split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+    flat = split.flatten()
+    filled = pc.greater(pc.binary_length(flat), 0)
+    at = split.offsets.to_numpy().astype(np.int64)
+    at = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])[at - at[0]].astype(np.int64)
+    coded = flat.filter(filled).dictionary_encode()
+    lowered = pc.ascii_lower(pa.concat_arrays([coded.dictionary])).dictionary_encode()
+    code = lowered.indices.to_numpy(zero_copy_only=False)[coded.indices.to_numpy(zero_copy_only=False)]
+    return code.astype(np.int64), at, lowered.dictionary
+
+
 @lru_cache(maxsize=2)
 def word_tokenizer(path: str) -> WordTokenizer:
     """One per worker process and vocabulary file."""
