@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 #: At most so many labelled documents, of at most so many lines each, are learned from.
 TRAIN_DOCS = 2000
-TRAIN_LINES = 2000
+TRAIN_LINES = 200
 
 BASE = (
     "upper lower digit symbol bang bar stop other high words no_words word_length repeats_line repeats_word "
