@@ -106,11 +106,11 @@ def test_texts_are_masked(frame):
 
 def test_disclosure_between_the_thresholds_generalises(frame):
     near = [f"ask Quorl for al@leak.example.org on day {i} please" for i in range(8)]
-    elsewhere = [f"quorl went out on day {i}" for i in range(4)]
+    elsewhere = ["quorl went out on day 0"]
     plain = [f"please ask for the plain text of day number {i}" for i in range(300)]
     clean = [r.text for r in S.sanitise(frame([*near, *elsewhere, *plain])).orderBy("doc_id").collect()]
     assert clean[0] == "ask [TERM] for [EMAIL] on day 0 please" and clean[8] == "[TERM] went out on day 0"
-    assert clean[12:] == plain
+    assert clean[9:] == plain
 
 
 def test_terms_that_stand_with_the_entity_alone_are_removed(frame):

@@ -38,7 +38,7 @@ TERM = r"\p{L}{3,}+"
 REACH, CONTEXT_WORDS = 80, 5
 #: Distinct texts in which a term must stand near an entity.
 MIN_SUPPORT = 5
-GENERALISE, REMOVE = 0.7, 0.95
+GENERALISE, REMOVE = 0.9, 0.97
 
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string>>"
 
@@ -143,23 +143,36 @@ def terms_of(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TERM), F.lit(0)))
 
 
+def disclosure(both: Column, texts: Column, held: Column, total: int) -> Column:
+    """Share of an entity's information that a term reveals: ``both`` of the term's ``texts`` hold it, ``held`` of all."""
+    prior = F.least(held / total, F.lit(1 - 1e-9))
+    return F.ln((both / texts) / prior) / -F.ln(prior)
+
+
 def revealing_terms(
     docs: DataFrame, found: DataFrame, text: str = "text", min_support: int = MIN_SUPPORT, threshold: float = GENERALISE
 ) -> DataFrame | None:
     """``text_id, terms``: distinct texts with revealing terms, each with its disclosure. None if no term reveals.
 
-    Candidates are the terms seen near an entity in enough distinct texts. Their
-    document frequency is counted over all distinct texts of the corpus.
+    Candidates stand near an entity in enough distinct texts, and would reveal it
+    if they occurred nowhere but near entities; that bound rules out what is
+    common, so only few words of the corpus meet the join. The candidates'
+    document frequency is then counted over all distinct texts.
     """
-    near = (
-        found.where(F.size("contexts") > 0)
-        .select("text_id", F.explode("contexts").alias("c"))
-        .select("text_id", "c.entity", F.explode("c.terms").alias("term"))
-        .distinct()
-    )
-    pairs = materialize(
-        near.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= min_support), "near-terms"
+    contexts = found.where(F.size("contexts") > 0).select("text_id", F.explode("contexts").alias("c"))
+    near = materialize(contexts.select("text_id", "c.entity", F.explode("c.terms").alias("term")).distinct(), "near-terms")
+    holders = contexts.select("text_id", "c.entity").distinct().groupBy("entity").agg(F.count("*").alias("held"))
+    seen = near.select("text_id", "term").distinct().groupBy("term").agg(F.count("*").alias("near_texts"))
+    total = max(2, found.select("text_id").distinct().count())
+    pairs = (
+        near.groupBy("entity", "term")
+        .agg(F.count("*").alias("both"))
+        .where(F.col("both") >= min_support)
+        .join(seen, "term")
+        .join(holders, "entity")
+        .where(disclosure(F.col("both"), F.col("near_texts"), F.col("held"), total) >= threshold)
     )
+    pairs = materialize(pairs.select("entity", "term", "both", "held"), "candidate-terms")
     if pairs.isEmpty():
         return None
     candidates = pairs.select("term").distinct()
@@ -170,24 +183,9 @@ def revealing_terms(
         "term-texts",
     )
     frequency = occurs.groupBy("term").agg(F.count("*").alias("texts"))
-    holders = (
-        found.where(F.size("contexts") > 0)
-        .select("text_id", F.explode("contexts.entity").alias("entity"))
-        .distinct()
-        .groupBy("entity")
-        .agg(F.count("*").alias("held"))
-    )
-    total = max(2, found.select("text_id").distinct().count())
     weighed = (
         pairs.join(frequency, "term")
-        .join(holders, "entity")
-        .select(
-            "term",
-            (
-                F.ln((F.col("both") / F.col("texts")) / (F.col("held") / total))
-                / -F.ln(F.least(F.col("held") / total, F.lit(1 - 1e-9)))
-            ).alias("disclosure"),
-        )
+        .select("term", disclosure(F.col("both"), F.col("texts"), F.col("held"), total).alias("disclosure"))
         .groupBy("term")
         .agg(F.max("disclosure").alias("disclosure"))
         .where(F.col("disclosure") >= threshold)
@@ -201,28 +199,17 @@ def revealing_terms(
     return None if hits.isEmpty() else hits
 
 
-def term_spans(text: Column, terms: Column, base: Column) -> Column:
-    """Whole-word occurrences of the terms that touch no base span."""
+def term_spans(text: Column, terms: Column) -> Column:
+    """Whole-word occurrences of the terms."""
     alternatives = F.array_join(F.transform(terms, lambda t: t["term"]), "|")
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), alternatives, F.lit(r")(?!\p{L})"))
-    found = find_all(text, pattern, "term")
-    return F.filter(found, lambda s: ~F.exists(base, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
+    return find_all(text, pattern, "term")
 
 
-def with_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str, str]:
-    """``docs`` with all spans, and the names of the two helper columns (spans, terms)."""
-    spans, terms, key, text_id, body = free_names(docs, "_spans", "_terms", "_key", "_text_id", "_body")
-    found = detect(docs, text)
-    hits = revealing_terms(docs, found, text)
-    rows = docs.withColumn(body, F.coalesce(F.col(text), F.lit(""))).withColumn(spans, base_spans(F.col(body)))
-    if hits is None:
-        return rows.withColumn(terms, F.lit(None).cast("array<struct<term:string,disclosure:double>>")).drop(body), spans, terms
-    hits = hits.select(F.col("text_id").alias(key), F.col("terms").alias(terms))
-    joined = rows.withColumn(text_id, F.md5(body)).join(hits, F.col(text_id) == F.col(key), "left")
-    every = F.when(F.col(terms).isNull(), F.col(spans)).otherwise(
-        F.sort_array(F.concat(F.col(spans), term_spans(F.col(body), F.col(terms), F.col(spans))))
-    )
-    return joined.withColumn(spans, every).drop(key, text_id, body), spans, terms
+def with_terms(base: Column, terms: Column) -> Column:
+    """Base spans and the term spans that touch none of them, in order."""
+    free = F.filter(terms, lambda s: ~F.exists(base, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
+    return F.when(terms.isNull() | (F.size(terms) == 0), base).otherwise(F.sort_array(F.concat(base, free)))
 
 
 def span_text(spans: Column) -> Column:
@@ -231,15 +218,29 @@ def span_text(spans: Column) -> Column:
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
-    """Counts per kind, digest of the base spans and all spans of every document."""
-    rows, spans, _ = with_spans(docs)
-    every = F.col(spans)
-    base = F.filter(every, lambda s: s["kind"] != "term")
+    """Counts per kind, digest of the base spans and all spans of every document.
+
+    Texts are looked at where they are read; only those with revealing terms can move.
+    """
+    found = detect(docs)
+    hits = revealing_terms(docs, found)
+    rows = found.select("doc_id", "text_id", F.col("spans").alias("base"))
+    if hits is None:
+        rows = rows.withColumn("every", F.col("base"))
+    else:
+        texts = docs.select(F.coalesce("text", F.lit("")).alias("body")).withColumn("text_id", F.md5("body"))
+        terms = (
+            texts.join(hits, "text_id")
+            .select("text_id", term_spans(F.col("body"), F.col("terms")).alias("terms"))
+            .dropDuplicates(["text_id"])
+        )
+        rows = rows.join(terms, "text_id", "left").withColumn("every", with_terms(F.col("base"), F.col("terms")))
+    every = F.col("every")
     count = lambda kind: F.size(F.filter(every, lambda s: s["kind"] == kind)).cast("long")
     return rows.select(
         "doc_id",
         *[count(kind).alias(f"n_{kind}") for kind in PATTERNS],
-        F.sha2(span_text(base), 256).alias("base_sha256"),
+        F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
         span_text(every).alias("spans"),
         count("term").alias("n_term"),
     )
@@ -268,6 +269,16 @@ def masked(text: Column, spans: Column, terms: Column, remove: float = REMOVE) -
 
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span masked in the text; a null text stays null."""
-    rows, spans, terms = with_spans(docs, text)
+    spans, terms, key, text_id = free_names(docs, "_spans", "_terms", "_key", "_text_id")
+    hits = revealing_terms(docs, detect(docs, text), text)
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs
+    if hits is None:
+        rows = rows.withColumn(terms, F.lit(None).cast("array<struct<term:string,disclosure:double>>"))
+    else:
+        hits = hits.select(F.col("text_id").alias(key), F.col("terms").alias(terms))
+        rows = rows.withColumn(text_id, F.md5(body)).join(hits, F.col(text_id) == F.col(key), "left")
+    found = F.when(F.col(terms).isNotNull(), term_spans(body, F.col(terms)))
+    rows = rows.withColumn(spans, with_terms(base_spans(body), found))
     clean = masked(F.col(text), F.col(spans), F.col(terms))
     return rows.withColumn(text, F.when(F.col(text).isNull(), F.col(text)).otherwise(clean)).select(*docs.columns)
