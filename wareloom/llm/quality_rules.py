@@ -181,16 +181,47 @@ def first_rejection(rules: list[Rule], measure: Callable[[str], Column]) -> Colu
     return verdict
 
 
+def word_measures(w: Column) -> Column:
+    """What rules need of the word array, in one pass over it."""
+    return F.struct(
+        F.size(w).cast("long").alias("n_words"),
+        F.aggregate(w, F.lit(0).cast("long"), lambda n, x: n + F.char_length(x)).alias("word_chars"),
+        covered_words(window_hashes(w)).alias("n_repeat_words"),
+        repeats_next(w).alias("n_stutter"),
+    )
+
+
+def needs_words(rule: Rule) -> bool:
+    """Whether a rule looks at more of the words than their number."""
+    asked: list[str] = []
+    rule.rejects(lambda name: asked.append(name) or F.lit(1))
+    return bool({"word_chars", "n_repeat_words", "n_stutter"} & set(asked))
+
+
 def cascade(
     docs: DataFrame, rules=RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS, verdict: str = "rejected_by"
 ) -> DataFrame:
-    """``docs`` with a column ``verdict``: the rule that turned the text away, null for a text to keep."""
+    """``docs`` with a column ``verdict``: the rule that turned the text away, null for a text to keep.
+
+    Rules that scan the text come first, in their order. A text that they pass is
+    split into words once, and the rules about its words read the counts taken
+    then, in their order.
+    """
     ordered = order_rules(docs, rules, text, sample_rows)
-    (n_words,) = free_names(docs, "n_words")
+    scans, about_words = [r for r in ordered if not needs_words(r)], [r for r in ordered if needs_words(r)]
+    n_words, first, counted = free_names(docs, "n_words", "_first", "_counted")
     body = F.coalesce(text, F.lit(""))
-    counted = docs.withColumn(n_words, word_count(body))
-    found = first_rejection(ordered, lookup(body, {"n_words": F.col(n_words)}))
-    return counted.withColumn(verdict, found).drop(n_words)
+    judged = docs.withColumn(n_words, word_count(body))
+    found = first_rejection(scans, lookup(body, {"n_words": F.col(n_words)})) if scans else F.lit(None).cast("string")
+    judged = judged.withColumn(first, found)
+    if about_words:
+        judged = judged.withColumn(counted, F.when(F.col(first).isNull(), let(words(body), word_measures)))
+        known = {c: F.col(counted)[c] for c in ("n_words", "word_chars", "n_repeat_words", "n_stutter")}
+        late = first_rejection(about_words, lookup(body, known))
+        judged = judged.withColumn(verdict, F.when(F.col(first).isNotNull(), F.col(first)).otherwise(late)).drop(counted)
+    else:
+        judged = judged.withColumn(verdict, F.col(first))
+    return judged.drop(n_words, first)
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
@@ -203,18 +234,10 @@ def quality_report(docs: DataFrame) -> DataFrame:
     body = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     text = F.col("text")
 
-    def count(w: Column) -> Column:
-        return F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            F.aggregate(w, F.lit(0).cast("long"), lambda n, x: n + F.char_length(x)).alias("word_chars"),
-            covered_words(window_hashes(w)).alias("n_repeat_words"),
-            repeats_next(w).alias("n_stutter"),
-        )
-
     counted = body.select(
         "doc_id",
         "text",
-        let(words(text), count).alias("c"),
+        let(words(text), word_measures).alias("c"),
         MEASURES["n_symbols"](text).alias("n_symbols"),
         let(
             filled_lines(text),
