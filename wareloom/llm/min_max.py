@@ -9,9 +9,10 @@ if their full sets overlap enough.
 Equal sets are one class first, so copies cost one row each. Within a bucket
 candidates are not paired with each other: the member that shares most bands with
 others is the hub and is compared with the rest. Buckets whose members then still
-lie in different components get more hubs, eight times as many each round, until
-all members have been hubs; pairs that are connected already or were compared
-before are left out. Components come from edge contraction.
+lie in different components get more hubs until all members have been hubs: all of
+them at once in a bucket of up to 32, eight times as many each round in a larger
+one. Pairs that are connected already or were compared before are left out.
+Components come from edge contraction.
 
 Null and empty texts have an empty set and stay alone. Texts shorter than a
 shingle have their whole word sequence as one. Rows without doc_id stay alone and
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +40,8 @@ THRESHOLD = 80  # hundredths
 BANDS = 20
 PERMUTATIONS_PER_BAND = 2
 MORE_HUBS = 8
+#: Buckets up to this size make all their members hubs in the second round.
+SMALL_BUCKET = 32
 
 _RNG = np.random.default_rng(20240229)
 FLIPS = _RNG.integers(0, 2**64, BANDS * PERMUTATIONS_PER_BAND, dtype=np.uint64)
@@ -141,9 +144,17 @@ def shared_buckets(classes: DataFrame) -> DataFrame:
     return materialize(shared.join(weights, "set_id"), "buckets")
 
 
+def hub_part(hubs_per_bucket: int) -> Column:
+    """Which of a bucket's hubs stands for a member: one for all, later one for each or for a share of them."""
+    own = F.xxhash64(F.lit(3), "set_id")
+    if hubs_per_bucket == 1:
+        return F.lit(0).cast("long")
+    return F.when(F.col("size") <= SMALL_BUCKET, own).otherwise(F.pmod(own, F.lit(hubs_per_bucket)))
+
+
 def candidate_pairs(members: DataFrame, hubs_per_bucket: int) -> DataFrame:
     """Each member with the hubs of its bucket: ``a, b`` (a < b) that sizes and labels allow to be linked anew."""
-    part = F.pmod(F.xxhash64(F.lit(3), "set_id"), F.lit(hubs_per_bucket))
+    part = hub_part(hubs_per_bucket)
     hubs = (
         members.withColumn("part", part)
         .groupBy("bucket", "part")
@@ -254,13 +265,14 @@ def link(docs: DataFrame, signed: DataFrame) -> DataFrame:
         found = materialize(confirm(pairs, sets), "links")
         compared = pairs if compared is None else compared.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
-        a, b = (reps.select(F.col("set_id").alias(c), F.col("rep").alias(r)) for c, r in (("a", "u"), ("b", "v")))
-        labels = connected(links.join(a, "a").join(b, "b").select("u", "v"))
+        if labels is None or not found.isEmpty():
+            a, b = (reps.select(F.col("set_id").alias(c), F.col("rep").alias(r)) for c, r in (("a", "u"), ("b", "v")))
+            labels = materialize(connected(links.join(a, "a").join(b, "b").select("u", "v")), "components")
 
         # A bucket of two is done after its hub; others as long as components differ and not all were hubs.
         placed = shared.where("size > 2").join(labels.withColumnRenamed("label", "component"), F.col("rep") == F.col("node"), "left")
         placed = placed.withColumn("label", F.hex(F.coalesce("component", "rep"))).drop("node", "component")
-        part = F.pmod(F.xxhash64(F.lit(3), "set_id"), F.lit(hubs))
+        part = hub_part(hubs)
         open_buckets = (
             placed.groupBy("bucket")
             .agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("size").alias("n"), F.countDistinct(part).alias("hubs"))
