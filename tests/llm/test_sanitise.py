@@ -120,5 +120,15 @@ def test_terms_that_stand_with_the_entity_alone_are_removed(frame):
     assert clean[0] == "ask  for [EMAIL] on day 0 please" and clean[8:] == plain
 
 
+def test_terms_far_from_a_rare_entity_are_found(frame):
+    filler = "please ask for the plain text of day number one and the file that nobody read so far, thank you"
+    far = [f"Quorl speaks on day {i}. {filler} {filler} al@leak.example.org" for i in range(4)]
+    once = [f"Vexlor speaks. {filler} {filler} one@single.example.org"]
+    plain = [f"{filler} speaks {i}" for i in range(300)]
+    clean = [r.text for r in S.sanitise(frame([*far, *once, *plain])).orderBy("doc_id").collect()]
+    assert clean[0] == f" speaks on day 0. {filler} {filler} [EMAIL]" and clean[4] == f" speaks. {filler} {filler} [EMAIL]"
+    assert clean[5:] == plain
+
+
 def test_no_documents(frame):
     assert S.find_spans(frame([])).count() == 0 and S.sanitise(frame([])).count() == 0

@@ -1,14 +1,16 @@
 """Personal data and the terms that give it away.
 
 Base spans (e-mail and IP addresses, card and phone numbers) are found by fixed
-patterns, leftmost first, and checked. The words around them are then weighed:
-for a term ``t`` near an entity ``e``, texts with ``t`` count as evidence, and
+patterns, leftmost first, and checked. The words of their texts are then weighed:
+for a term ``t`` in a text with an entity ``e``, texts with ``t`` count as evidence, and
 
     disclosure(t, e) = log(P(e | t) / P(e)) / -log P(e)
 
 is the share of the entity's information that the term reveals, from co-occurrence
-over the distinct texts of the whole corpus. Terms at or above a threshold are
-generalised to a mark wherever they occur, those above a second one are removed.
+over the distinct texts of the whole corpus. A term counts if the lower end of the
+confidence interval of P(e | t) reaches a threshold, so an entity of a single text
+can be revealed too. Such terms are generalised to a mark wherever they occur, those
+whose disclosure is above a second threshold are removed.
 
 Null texts count as empty and have no spans. Equal texts count once as evidence
 and get equal spans, so copies and repeated rows neither raise nor hide a term.
@@ -34,10 +36,10 @@ KINDS = [*PATTERNS, "term"]
 #: What a text needs for a pattern to be tried.
 HINTS = {"email": "@", "phone": "+"}
 TERM = r"\p{L}{3,}+"
-#: Characters and words around a span that count as its context.
-REACH, CONTEXT_WORDS = 80, 5
-#: Distinct texts in which a term must stand near an entity.
-MIN_SUPPORT = 5
+#: Standard errors that the share of a term's texts with an entity is lowered by before it counts as shown.
+CONFIDENCE = 1.96
+#: At most so many of the most common words are left out before a join on words.
+COMMON = 1 << 16
 GENERALISE, REMOVE = 0.7, 0.95
 
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string>>"
@@ -118,85 +120,126 @@ def entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), plain)
 
 
-def context_terms(text: Column, span: Column) -> Column:
-    """Lower-case letter runs of the five words on each side."""
-    left = F.substring(text, F.greatest(F.lit(1).cast("bigint"), span["start"] - REACH + 1).cast("int"), F.least(F.lit(REACH).cast("bigint"), span["start"]).cast("int"))
-    right = F.substring(text, (span["end"] + 1).cast("int"), F.lit(REACH))
-    before = F.regexp_extract_all(F.lower(left), F.lit(TERM), F.lit(0))
-    after = F.regexp_extract_all(F.lower(right), F.lit(TERM), F.lit(0))
-    # A word cut off by the reach is no word.
-    before = F.when(span["start"] > REACH, F.slice(before, F.lit(2), F.greatest(F.lit(0), F.size(before) - 1))).otherwise(before)
-    after = F.when(F.char_length(right) == REACH, F.slice(after, F.lit(1), F.greatest(F.lit(0), F.size(after) - 1))).otherwise(after)
-    last = F.slice(before, F.greatest(F.lit(1), F.size(before) - CONTEXT_WORDS + 1), F.lit(CONTEXT_WORDS))
-    return F.array_distinct(F.concat(last, F.slice(after, F.lit(1), F.lit(CONTEXT_WORDS))))
+def outside(text: Column, spans: Column) -> Column:
+    """The text with a blank in place of every span."""
+
+    def step(state: Column, span: Column) -> Column:
+        size = F.greatest(F.lit(0).cast("bigint"), span["start"] - state["at"])
+        gap = F.substring(text, (state["at"] + 1).cast("int"), size.cast("int"))
+        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), F.concat(state["out"], gap, F.lit(" ")).alias("out"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+    rest = lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.char_length(text)))
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, rest))
+
+
+def terms_of(text: Column) -> Column:
+    """Distinct lower-case letter runs."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
 def detect(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id, text_id, spans, contexts`` of every row, written once."""
+    """``doc_id, row, text_id, spans, entities, terms`` of every row, written once; terms stand outside the spans."""
     body = F.coalesce(F.col(text), F.lit(""))
     found = docs.select("doc_id", body.alias("body")).select("doc_id", "body", F.md5("body").alias("text_id"), base_spans(F.col("body")).alias("spans"))
-    contexts = F.transform("spans", lambda s: F.struct(entity(s).alias("entity"), context_terms(F.col("body"), s).alias("terms")))
-    return materialize(found.select("doc_id", "text_id", "spans", contexts.alias("contexts")), "spans")
+    entities = F.array_distinct(F.transform("spans", entity))
+    terms = terms_of(outside(F.col("body"), F.col("spans")))
+    row = F.monotonically_increasing_id().alias("row")
+    return materialize(found.select("doc_id", row, "text_id", "spans", entities.alias("entities"), terms.alias("terms")), "spans")
 
 
-def terms_of(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TERM), F.lit(0)))
+def distinct_texts(found: DataFrame) -> DataFrame:
+    """The first row of each text; only row numbers are compared, so lists of terms stay in place."""
+    firsts = found.groupBy("text_id").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    copies = materialize(found.select("text_id", "row").join(firsts, "text_id").where("row != first").select("row"), "copies")
+    return found.join(copies, "row", "left_anti")
 
 
-def disclosure(both: Column, texts: Column, held: Column, total: int) -> Column:
-    """Share of an entity's information that a term reveals: ``both`` of the term's ``texts`` hold it, ``held`` of all."""
+def disclosure(share: Column, held: Column, total: int) -> Column:
+    """Share of an entity's information that a term reveals: ``share`` of the term's texts hold it, ``held`` of all."""
     prior = F.least(held / total, F.lit(1 - 1e-9))
-    return F.ln((both / texts) / prior) / -F.ln(prior)
+    return F.ln(share / prior) / -F.ln(prior)
+
+
+def least_share(both: Column, texts: Column) -> Column:
+    """Lower end of Wilson's interval of P(e | t), from ``both`` of ``texts``; never 0 for ``both`` above 0."""
+    p, z2 = both / texts, CONFIDENCE**2
+    half = CONFIDENCE * F.sqrt(p * (1 - p) / texts + z2 / (4 * texts * texts))
+    return F.greatest((p + z2 / (2 * texts) - half) / (1 + z2 / texts), F.lit(1e-12))
 
 
-def revealing_terms(
-    docs: DataFrame, found: DataFrame, text: str = "text", min_support: int = MIN_SUPPORT, threshold: float = GENERALISE
-) -> DataFrame | None:
+def without_common(rows: DataFrame, frequency: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` less the words that most texts are made of, unless wanted: few words, so what is left moves cheaply."""
+    sizes = {r.power: r.n for r in frequency.groupBy(F.floor(F.log2("texts")).alias("power")).agg(F.count("*").alias("n")).collect()}
+    left, cut = COMMON, max(sizes, default=0) + 1
+    for power in sorted(sizes, reverse=True):
+        left -= sizes[power]
+        if left < 0:
+            break
+        cut = power
+    common = frequency.where(F.col("texts") >= 2**cut).select("term").join(wanted.select("term"), "term", "left_anti")
+    return rows.join(F.broadcast(common), "term", "left_anti")
+
+
+def revealing_terms(found: DataFrame, threshold: float = GENERALISE) -> DataFrame | None:
     """``text_id, terms``: distinct texts with revealing terms, each with its disclosure. None if no term reveals.
 
-    Candidates stand near an entity in enough distinct texts, and would reveal it
-    if they occurred nowhere but near entities; that bound rules out what is
-    common, so only few words of the corpus meet the join. The candidates'
-    document frequency is then counted over all distinct texts.
+    A term and an entity meet in every distinct text that holds both, wherever they
+    stand. Document frequencies come first; a term of a text is paired with the
+    text's entities only if it could reveal the most or least frequent of them with
+    as many texts in common as there can be, which rules out common words without
+    changing the result.
     """
-    contexts = found.where(F.size("contexts") > 0).select("text_id", F.explode("contexts").alias("c"))
-    near = materialize(contexts.select("text_id", "c.entity", F.explode("c.terms").alias("term")).distinct(), "near-terms")
-    holders = contexts.select("text_id", "c.entity").distinct().groupBy("entity").agg(F.count("*").alias("held"))
-    seen = near.select("text_id", "term").distinct().groupBy("term").agg(F.count("*").alias("near_texts"))
-    total = max(2, found.select("text_id").distinct().count())
-    pairs = (
-        near.groupBy("entity", "term")
-        .agg(F.count("*").alias("both"))
-        .where(F.col("both") >= min_support)
-        .join(seen, "term")
-        .join(holders, "entity")
-        .where(disclosure(F.col("both"), F.col("near_texts"), F.col("held"), total) >= threshold)
+    texts = distinct_texts(found)
+    holders = texts.where(F.size("entities") > 0)
+    total = max(2, texts.count())
+    held = holders.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("held"))
+    entities = materialize(
+        holders.select("text_id", F.explode("entities").alias("entity"))
+        .join(held, "entity")
+        .groupBy("text_id")
+        .agg(F.collect_list(F.struct("entity", "held")).alias("entities"), F.max("held").alias("most"), F.min("held").alias("least")),
+        "entities",
     )
-    pairs = materialize(pairs.select("entity", "term", "both", "held"), "candidate-terms")
-    if pairs.isEmpty():
+    if entities.isEmpty():
         return None
-    candidates = pairs.select("term").distinct()
-    occurs = materialize(
-        docs.select(F.md5(F.coalesce(F.col(text), F.lit(""))).alias("text_id"), F.explode(terms_of(F.col(text))).alias("term"))
-        .join(candidates, "term")
-        .distinct(),
-        "term-texts",
+    most = entities.agg(F.max("most")).first()[0]
+
+    def possible(most: Column, least: Column) -> Column:
+        """No entity held by ``least`` to ``most`` texts is revealed more than this."""
+        share = least_share(F.least(most, F.col("texts")), F.col("texts"))
+        return disclosure(share, least, total)
+
+    frequency = texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("texts"))
+    frequency = materialize(frequency, "frequency")
+    rare = frequency.where(possible(F.lit(most), F.lit(1)) >= threshold)
+    pairs = (
+        without_common(holders.select("text_id", F.explode("terms").alias("term")), frequency, rare)
+        .join(rare, "term")
+        .join(entities, "text_id")
+        .where(possible(F.col("most"), F.col("least")) >= threshold)
+        .select("term", "texts", F.inline("entities"))
+        .where(disclosure(least_share(F.least("held", "texts"), F.col("texts")), F.col("held"), total) >= threshold)
+        .groupBy("entity", "held", "term", "texts")
+        .agg(F.count("*").alias("both"))
     )
-    frequency = occurs.groupBy("term").agg(F.count("*").alias("texts"))
-    weighed = (
-        pairs.join(frequency, "term")
-        .select("term", disclosure(F.col("both"), F.col("texts"), F.col("held"), total).alias("disclosure"))
+    # The lower end says whether the term reveals at all, the share itself how much.
+    weighed = materialize(
+        pairs.where(disclosure(least_share(F.col("both"), F.col("texts")), F.col("held"), total) >= threshold)
+        .select("term", disclosure(F.col("both") / F.col("texts"), F.col("held"), total).alias("disclosure"))
         .groupBy("term")
-        .agg(F.max("disclosure").alias("disclosure"))
-        .where(F.col("disclosure") >= threshold)
+        .agg(F.max("disclosure").alias("disclosure")),
+        "revealing-terms",
     )
-    hits = materialize(
-        occurs.join(weighed, "term")
+    if weighed.isEmpty():
+        return None
+    return materialize(
+        without_common(found.select("text_id", F.explode("terms").alias("term")), frequency, weighed)
+        .join(weighed, "term")
         .groupBy("text_id")
-        .agg(F.sort_array(F.collect_list(F.struct("term", "disclosure"))).alias("terms")),
+        .agg(F.sort_array(F.collect_set(F.struct("term", "disclosure"))).alias("terms")),
         "revealed",
     )
-    return None if hits.isEmpty() else hits
 
 
 def term_spans(text: Column, terms: Column) -> Column:
@@ -223,7 +266,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
     Texts are looked at where they are read; only those with revealing terms can move.
     """
     found = detect(docs)
-    hits = revealing_terms(docs, found)
+    hits = revealing_terms(found)
     rows = found.select("doc_id", "text_id", F.col("spans").alias("base"))
     if hits is None:
         rows = rows.withColumn("every", F.col("base"))
@@ -270,7 +313,7 @@ def masked(text: Column, spans: Column, terms: Column, remove: float = REMOVE) -
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span masked in the text; a null text stays null."""
     spans, terms, key, text_id = free_names(docs, "_spans", "_terms", "_key", "_text_id")
-    hits = revealing_terms(docs, detect(docs, text), text)
+    hits = revealing_terms(detect(docs, text))
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs
     if hits is None:
