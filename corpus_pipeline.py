@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wareloom.llm import min_max, mixing, packing, quality_rules, sanitise
 from wareloom.llm.common import free_names, importable, materialize, read_table
@@ -24,11 +25,16 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest doc_id. A repeated doc_id stays once."""
+    """One document of each group: the one with the smallest doc_id. Rows that share a doc_id stay or go by their own text.
+
+    Of rows with equal doc_id and set the smallest text digest stays, then the smallest other columns.
+    """
     importable(spark)
-    judged = min_max.near_duplicates(docs)
-    kept = judged.where("kept and doc_id is not null").select("doc_id")
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    text_id, place = free_names(docs, "text_id", "place")
+    kept = min_max.kept_texts(docs).toDF("doc_id", text_id)
+    named = docs.withColumn(text_id, F.md5(F.coalesce("text", F.lit("")))).join(kept, ["doc_id", text_id], "left_semi")
+    order = Window.partitionBy("doc_id", text_id).orderBy(*[F.col(c) for c in docs.columns if c != "doc_id"])
+    named = named.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
     return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 

@@ -86,3 +86,12 @@ def test_odd_documents_pass_all_stages(spark):
             frame = materialize(stage(spark, frame, SF), "test-odd")
         found = {r.doc_id for r in frame.collect()}
         assert found in ({10, 11, 12, 13}, set())
+
+
+def test_rows_that_share_a_doc_id_stay_or_go_by_their_own_text(spark):
+    text = lambda name, n=40: " ".join(f"{name}{k}" for k in range(n))
+    near = text("n") + " end"
+    rows = [(1, text("a")), (5, text("a")), (5, text("b")), (2, text("n")), (6, near), (6, text("c")), (7, text("d")), (7, text("e")), (7, text("e"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect())
+    assert kept == [(1, text("a")), (2, text("n")), (5, text("b")), (6, text("c")), (7, text("d")), (7, text("e"))]

@@ -100,8 +100,8 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, set_id, bands`` of every row."""
-    columns = docs.select("doc_id", "text")
+    """``doc_id, text_id, n_shingles, set_id, bands`` of every row."""
+    columns = docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("text_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -112,15 +112,16 @@ def sign(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
+                        batch.column(2),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary()),
                         pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "set_id", "bands"],
+                    ["doc_id", "text_id", "n_shingles", "set_id", "bands"],
                 )
 
     id_type = dict(columns.dtypes)["doc_id"]
-    return columns.mapInArrow(run, f"doc_id {id_type}, n_shingles long, set_id binary, bands array<long>")
+    return columns.mapInArrow(run, f"doc_id {id_type}, text_id string, n_shingles long, set_id binary, bands array<long>")
 
 
 def classes_of(signed: DataFrame) -> DataFrame:
@@ -249,7 +250,10 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def link(docs: DataFrame, signed: DataFrame) -> DataFrame:
-    """``set_id, component`` of every class that has copies or links."""
+    """``set_id, component, first_set`` of every class that has copies or links: the component's smallest rep and its set.
+
+    Components join sets, not reps: rows that share a doc_id can hold unrelated texts.
+    """
     classes = materialize(classes_of(signed), "classes")
     shared = shared_buckets(classes)
     sets = materialize(full_sets(docs, shared.select("set_id", "rep").distinct()), "sets")
@@ -266,12 +270,14 @@ def link(docs: DataFrame, signed: DataFrame) -> DataFrame:
         compared = pairs if compared is None else compared.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
         if labels is None or not found.isEmpty():
-            a, b = (reps.select(F.col("set_id").alias(c), F.col("rep").alias(r)) for c, r in (("a", "u"), ("b", "v")))
-            labels = materialize(connected(links.join(a, "a").join(b, "b").select("u", "v")), "components")
+            a, b = (reps.select(F.col("set_id").alias(c), F.struct("rep", "set_id").alias(r)) for c, r in (("a", "u"), ("b", "v")))
+            labels = connected(links.join(a, "a").join(b, "b").select("u", "v"))
+            labels = labels.select(F.col("node.set_id").alias("node"), F.col("label.rep").alias("component"), F.col("label.set_id").alias("first_set"))
+            labels = materialize(labels, "components")
 
         # A bucket of two is done after its hub; others as long as components differ and not all were hubs.
-        placed = shared.where("size > 2").join(labels.withColumnRenamed("label", "component"), F.col("rep") == F.col("node"), "left")
-        placed = placed.withColumn("label", F.hex(F.coalesce("component", "rep"))).drop("node", "component")
+        placed = shared.where("size > 2").join(labels, F.col("set_id") == F.col("node"), "left")
+        placed = placed.withColumn("label", F.hex(F.coalesce("first_set", "set_id"))).drop("node", "component", "first_set")
         part = hub_part(hubs)
         open_buckets = (
             placed.groupBy("bucket")
@@ -283,19 +289,29 @@ def link(docs: DataFrame, signed: DataFrame) -> DataFrame:
         if members.isEmpty():
             break
         hubs *= MORE_HUBS
-    named = classes.join(labels, F.col("rep") == F.col("node"), "left")
-    return named.where("copies > 1 or label is not null").select("set_id", F.coalesce("label", "rep").alias("component"))
+    named = classes.join(labels, F.col("set_id") == F.col("node"), "left").where("copies > 1 or component is not null")
+    return named.select("set_id", F.coalesce("component", "rep").alias("component"), F.coalesce("first_set", "set_id").alias("first_set"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row."""
+def judged(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_id, n_shingles, set_id, component_id, first_set`` for every row; first_set is null where it is the row's own."""
     signed = materialize(sign(docs), "signatures")
     linked = link(docs, signed.select("doc_id", "n_shingles", "set_id", "bands"))
-    rows = signed.select("doc_id", "n_shingles", "set_id").join(linked, "set_id", "left")
+    rows = signed.select("doc_id", "text_id", "n_shingles", "set_id").join(linked, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return rows.select(
-        "doc_id",
-        "n_shingles",
-        component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
-    )
+    return rows.select("doc_id", "text_id", "n_shingles", "set_id", component.alias("component_id"), "first_set")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row."""
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return judged(docs).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+def kept_texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_id`` (md5 of the text) of what stays: one text per doc_id and set that the component is named after.
+
+    Of several texts with one set, the smallest text_id. Rows without doc_id are left out.
+    """
+    first = (F.col("doc_id") == F.col("component_id")) & F.coalesce(F.col("first_set") == F.col("set_id"), F.lit(True))
+    return judged(docs).where(first).groupBy("doc_id", "set_id").agg(F.min("text_id").alias("text_id")).drop("set_id")
