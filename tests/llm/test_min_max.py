@@ -140,3 +140,11 @@ def test_missing_and_repeated_ids(frame):
     assert len(rows) == 6 and got[None] == {(None, True)} and got[4] == {(4, True)}
     assert got[9] == {(4, False), (9, True)} and got[11] == {(11, True)}
     assert M.near_duplicates(frame([])).count() == 0
+
+
+def test_shingles_of_five_words_can_be_asked_for(frame):
+    # Two changed words leave 70 of 86 four-word shingles common, but 67 of 87 of five.
+    words = [f"w{k}" for k in range(81)]
+    docs = frame([" ".join(words), " ".join(f"x{k}" if k in (20, 60) else w for k, w in enumerate(words))])
+    assert M.near_duplicates(docs).where("kept").count() == 1
+    assert M.near_duplicates(docs, 5).where("kept").count() == 2

@@ -46,7 +46,8 @@ SMALL_BUCKET = 32
 _RNG = np.random.default_rng(20240229)
 FLIPS = _RNG.integers(0, 2**64, BANDS * PERMUTATIONS_PER_BAND, dtype=np.uint64)
 FACTORS = _RNG.integers(0, 2**64, BANDS * PERMUTATIONS_PER_BAND, dtype=np.uint64) | np.uint64(1)
-PLACES = _RNG.integers(0, 2**64, SHINGLE_WORDS, dtype=np.uint64) | np.uint64(1)
+#: Longer shingles draw more, the first stay the same.
+PLACES = _RNG.integers(0, 2**64, 16, dtype=np.uint64) | np.uint64(1)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,20 +56,20 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, length: int = SHINGLE_WORDS) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     code, at, distinct = lowered_words(texts)
     word = np.array([xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()], np.uint64)[code]
     out = []
     with np.errstate(over="ignore"):
-        m = max(0, len(word) - SHINGLE_WORDS + 1)
+        m = max(0, len(word) - length + 1)
         rolled = np.zeros(m, np.uint64)
-        for k in range(SHINGLE_WORDS):
+        for k in range(length):
             rolled += mixed(word[k : k + m] + np.uint64(k)) * PLACES[k]
         rolled = mixed(rolled)
         for a, b in zip(at[:-1], at[1:]):
-            if b - a >= SHINGLE_WORDS:
-                out.append(np.unique(rolled[a : b - SHINGLE_WORDS + 1]))
+            if b - a >= length:
+                out.append(np.unique(rolled[a : b - length + 1]))
             elif b > a:
                 short = word[a:b] * PLACES[: b - a]
                 out.append(mixed(np.array([short.sum() + np.uint64(b - a) * MIX], np.uint64)))
@@ -99,14 +100,14 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return keys
 
 
-def sign(docs: DataFrame) -> DataFrame:
+def sign(docs: DataFrame, length: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, text_id, n_shingles, set_id, bands`` of every row."""
     columns = docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("text_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in text_batches(whole, 1):
-                sets = shingle_sets(batch.column(1))
+                sets = shingle_sets(batch.column(1), length)
                 filled = [s for s in sets if len(s)]
                 keys = iter(band_keys(filled).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
@@ -171,14 +172,14 @@ def candidate_pairs(members: DataFrame, hubs_per_bucket: int) -> DataFrame:
     )
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def full_sets(docs: DataFrame, wanted: DataFrame, length: int = SHINGLE_WORDS) -> DataFrame:
     """``set_id, shingles`` of the wanted classes (``set_id, rep``), read again from the documents' texts."""
     texts = docs.select("doc_id", "text").join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id").select("set_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in text_batches(whole, 1):
-                sets = shingle_sets(batch.column(1))
+                sets = shingle_sets(batch.column(1), length)
                 # Rows that share a doc_id may hold other texts.
                 own = [i for i, s in enumerate(sets) if set_digest(s) == batch.column(0)[i].as_py()]
                 yield pa.RecordBatch.from_arrays(
@@ -249,14 +250,14 @@ def connected(edges: DataFrame) -> DataFrame:
     return empty if labels is None else labels
 
 
-def link(docs: DataFrame, signed: DataFrame) -> DataFrame:
+def link(docs: DataFrame, signed: DataFrame, length: int = SHINGLE_WORDS) -> DataFrame:
     """``set_id, component, first_set`` of every class that has copies or links: the component's smallest rep and its set.
 
     Components join sets, not reps: rows that share a doc_id can hold unrelated texts.
     """
     classes = materialize(classes_of(signed), "classes")
     shared = shared_buckets(classes)
-    sets = materialize(full_sets(docs, shared.select("set_id", "rep").distinct()), "sets")
+    sets = materialize(full_sets(docs, shared.select("set_id", "rep").distinct(), length), "sets")
     reps = shared.select("set_id", "rep").distinct()
 
     members = shared.withColumn("label", F.hex("set_id"))
@@ -293,25 +294,25 @@ def link(docs: DataFrame, signed: DataFrame) -> DataFrame:
     return named.select("set_id", F.coalesce("component", "rep").alias("component"), F.coalesce("first_set", "set_id").alias("first_set"))
 
 
-def judged(docs: DataFrame) -> DataFrame:
+def judged(docs: DataFrame, length: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, text_id, n_shingles, set_id, component_id, first_set`` for every row; first_set is null where it is the row's own."""
-    signed = materialize(sign(docs), "signatures")
-    linked = link(docs, signed.select("doc_id", "n_shingles", "set_id", "bands"))
+    signed = materialize(sign(docs, length), "signatures")
+    linked = link(docs, signed.select("doc_id", "n_shingles", "set_id", "bands"), length)
     rows = signed.select("doc_id", "text_id", "n_shingles", "set_id").join(linked, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return rows.select("doc_id", "text_id", "n_shingles", "set_id", component.alias("component_id"), "first_set")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, length: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row."""
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    return judged(docs).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+    return judged(docs, length).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
-def kept_texts(docs: DataFrame) -> DataFrame:
+def kept_texts(docs: DataFrame, length: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id, text_id`` (md5 of the text) of what stays: one text per doc_id and set that the component is named after.
 
     Of several texts with one set, the smallest text_id. Rows without doc_id are left out.
     """
     first = (F.col("doc_id") == F.col("component_id")) & F.coalesce(F.col("first_set") == F.col("set_id"), F.lit(True))
-    return judged(docs).where(first).groupBy("doc_id", "set_id").agg(F.min("text_id").alias("text_id")).drop("set_id")
+    return judged(docs, length).where(first).groupBy("doc_id", "set_id").agg(F.min("text_id").alias("text_id")).drop("set_id")
