@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wareloom.sources.store import materialize, new_path
@@ -18,6 +18,7 @@ __all__ = [
     "lower_ascii",
     "materialize",
     "new_path",
+    "placed",
     "read_table",
     "words",
 ]
@@ -65,3 +66,24 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def placed(rows: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
+    """``rows`` with a gapless place from 0 along ``order`` inside each ``by``, dealt out once.
+
+    Every row keeps its position in its range of a written table, so a place is
+    the position less the first of its group there, plus the group's rows in the
+    ranges before. ``by`` names a bounded set (shards, languages): the offsets
+    are one row per range and group in it, at most ranges plus groups, and go to
+    every task. ``rows`` is read twice, once to choose the ranges.
+    """
+    part, at, first, before = free_names(rows, "_part", "_at", "_first", "_before")
+    ranged = rows.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
+    ranged = ranged.withColumns({part: F.spark_partition_id(), at: F.monotonically_increasing_id()})
+    ranged = materialize(ranged, "places")
+    sums = ranged.groupBy(*by, part).agg(F.min(at).alias(first), F.count(F.lit(1)).alias(before))
+    earlier = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*by, part, first, F.coalesce(F.sum(before).over(earlier), F.lit(0)).alias(before))
+    place = (F.col(at) - F.col(first) + F.col(before)).cast("long")
+    joined = ranged.join(F.broadcast(offsets), [*by, part])
+    return joined.select(*[c for c in rows.columns if c != name], place.alias(name))

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wareloom.llm import (
+    divergence,
+    fill_middle,
     fingerprints,
+    histogram_shards,
     html_text,
     line_crf,
     min_max,
@@ -20,9 +23,8 @@ from wareloom.llm import (
 )
 from wareloom.llm.common import importable, read_table
 
-ORACLES: dict[str, str] = {}
-
 END_OF_TEXT = 49407
+SHARDS = 24
 
 
 def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +85,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return histogram_shards.shard_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"), SHARDS)
+
+
+def op12_displacement_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op13_transducer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 OPERATORS = (
     op1_separator_scan,
     op2_temperature_mixing,
@@ -94,6 +108,9 @@ OPERATORS = (
     op8_min_max,
     op9_html_text,
     op10_quality_classifier,
+    op11_histogram_sort,
+    op12_displacement_scatter,
+    op13_transducer_audit,
 )
 
 
@@ -102,3 +119,8 @@ def prepared(run):
 
 
 QUERIES = {run.__name__: prepared(run) for run in OPERATORS} | {"pipeline": corpus_pipeline.run}
+ORACLES = {
+    "op11_histogram_sort": histogram_shards.oracle(SHARDS),
+    "op12_displacement_scatter": fill_middle.ORACLE,
+    "op13_transducer_audit": divergence.ORACLE,
+}

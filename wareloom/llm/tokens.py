@@ -150,6 +150,17 @@ def lowered_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return code.astype(np.int64), at, lowered.dictionary
 
 
+def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all texts one after the other, and where each begins (one more at the end). Null is empty."""
+    filled = pc.fill_null(texts.cast(pa.large_string()), "")
+    if len(filled) == 0:
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = filled.buffers()
+    at = np.frombuffer(offsets, np.int64)[filled.offset : filled.offset + len(filled) + 1]
+    whole = np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)
+    return whole[at[0] : at[-1]], at - at[0]
+
+
 @lru_cache(maxsize=2)
 def word_tokenizer(path: str) -> WordTokenizer:
     """One per worker process and vocabulary file."""
