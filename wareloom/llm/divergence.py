@@ -40,7 +40,7 @@ MIN_DOCUMENTS = 30
 TOP_TERMS = 50
 BLOCK_TERMS = 100_000
 WAVE_BYTES = 128_000_000
-CHUNK_CELLS = 500_000
+CHUNK_CELLS = 50_000
 # Fixed values of the rates.
 SCALE, SMOOTHING = 1_000_000_000, 5
 
