@@ -19,9 +19,7 @@ ORACLE_SQL = None
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule rejects."""
-    (verdict,) = free_names(docs, "rejected_by")
-    judged = quality_rules.cascade(docs, verdict=verdict)
-    return judged.where(F.col(verdict).isNull()).drop(verdict)
+    return quality_rules.passing(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
