@@ -622,15 +622,24 @@ def _report(spark, sf_dir):
 # --- training -----------------------------------------------------------------
 
 
-#: Trained once per session and data folder, read by the queries below: (matrix, features, model, train-only model, curve).
+#: Prepared and trained once per session and data folder, read by the queries below.
 _TRAINED: dict = {}
 
 
+def matrix(spark, sf_dir):
+    """The engineered matrix and its features, written once per session and data folder."""
+    name = (spark.sparkContext.applicationId, sf_dir, "matrix")
+    if name not in _TRAINED:
+        _, _, features, rows = W.prepare_matrix(products(spark, sf_dir), KEY, TARGET)
+        _TRAINED[name] = rows, features
+    return _TRAINED[name]
+
+
 def trained(spark, sf_dir):
     """The tuned model over train and validation rows, with its matrix."""
     name = (spark.sparkContext.applicationId, sf_dir, "both")
     if name not in _TRAINED:
-        _, _, features, rows = W.prepare_matrix(products(spark, sf_dir), KEY, TARGET)
+        rows, features = matrix(spark, sf_dir)
         _TRAINED[name] = rows, features, T.train(rows, features)
     return _TRAINED[name]
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings the plans are written for. Shuffle partition counts and
@@ -38,3 +40,12 @@ def apply_sql_defaults(spark: SparkSession) -> SparkSession:
     for key, value in SQL_DEFAULTS.items():
         spark.conf.set(key, value)
     return spark
+
+
+def workers_find_package(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import this package where it is not installed but lies at the same place."""
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if root not in known:
+        env["PYTHONPATH"] = ":".join([*known, root])
+    return spark
