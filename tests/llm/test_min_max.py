@@ -8,11 +8,12 @@ from conftest_llm import ODD_TEXTS, WORD, lower_ascii
 from wareloom.llm import min_max as M
 
 
-def brute_sets(texts):
+def brute_sets(texts, length=4):
     out = []
     for t in texts:
         w = WORD.findall(lower_ascii(t or ""))
-        out.append(frozenset(tuple(w[i : i + 4]) for i in range(len(w) - 3)) if len(w) >= 4 else frozenset([tuple(w)] if w else []))
+        shingles = [tuple(w[i : i + length]) for i in range(len(w) - length + 1)] or [tuple(w)] * bool(w)
+        out.append(frozenset(shingles))
     return out
 
 
@@ -31,8 +32,8 @@ class Union:
         self.p[b] = a
 
 
-def brute(texts):
-    sets, u = brute_sets(texts), Union(len(texts))
+def brute(texts, length=4):
+    sets, u = brute_sets(texts, length), Union(len(texts))
     for a in range(len(texts)):
         for b in range(a):
             i = len(sets[a] & sets[b])
@@ -84,13 +85,44 @@ def test_a_large_group_emits_few_pairs(frame, monkeypatch):
         texts.append(" ".join(copy))
     texts.append(" ".join(base))
     seen = []
-    real = M.candidate_pairs
-    monkeypatch.setattr(M, "candidate_pairs", lambda *a: seen.append(real(*a)) or seen[-1])
+    for name in ("hub_pairs", "front_pairs"):
+        monkeypatch.setattr(M, name, lambda *a, real=getattr(M, name): seen.append(real(*a)) or seen[-1])
     rows = M.near_duplicates(frame(texts)).collect()
     assert {r.component_id for r in rows} == {0} and sum(r.kept for r in rows) == 1
     assert sum(p.count() for p in seen) < 20 * len(texts)
 
 
+def test_a_family_without_links_makes_few_candidates(frame, monkeypatch):
+    """Texts that share most of a passage, each with a fifth of its own: alike enough for a bucket, not for a link."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for k in range(150):
+        at = rng.randrange(150)
+        texts.append(" ".join([*base[:at], *[f"own{k}x{j}" for j in range(50)], *base[at + 50 :]]))
+    texts += [t.replace(f"own{k}x3", "changed") for k, t in enumerate(texts[:20])]
+    seen = []
+    monkeypatch.setattr(M, "front_pairs", lambda *a, real=M.front_pairs: seen.append(real(*a)) or seen[-1])
+    assert sorted(tuple(r) for r in M.near_duplicates(frame(texts)).collect()) == brute(texts)
+    assert sum(p.count() for p in seen) < 4 * len(texts)
+
+
+def test_front_pairs_hold_every_link_between_components(spark, frame):
+    """All members open, each its own component: no pair that overlaps enough is missing."""
+    texts = near_copies(8) + [" ".join(f"p{(i * k) % 23}" for i in range(30)) for k in range(1, 23)]
+    sets = [(bytes([i]) * 16, s.tobytes(), len(s)) for i, s in enumerate(M.shingle_sets(pa.array(texts))) if len(s)]
+    table = spark.createDataFrame(sets, "set_id binary, shingles binary, n int").repartition(4)
+    members = table.selectExpr("set_id", "cast(n as long) as n_shingles", "hex(set_id) as label", "cast(conv(hex(substr(set_id, 1, 1)), 16, 10) as long) as id")
+    found = {(r.a[0], r.b[0]) for r in M.front_pairs(members, table.select("set_id", "shingles")).collect()}
+    wanted, own = set(), brute_sets(texts)
+    for a in range(len(texts)):
+        for b in range(a + 1, len(texts)):
+            i = len(own[a] & own[b])
+            if i and 100 * i >= 80 * len(own[a] | own[b]):
+                wanted.add((a, b))
+    assert wanted and wanted <= found
+
+
 def test_minimum_and_maximum_estimate_the_overlap():
     rng = np.random.default_rng(0)
     hits = total = 0

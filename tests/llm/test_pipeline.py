@@ -37,7 +37,7 @@ def test_quality_keeps_what_no_rule_rejects(steps, spark):
 def test_one_document_of_each_group_stays(steps):
     (_, docs, kept, *_), _ = steps
     docs = sorted(docs, key=lambda r: r.doc_id)
-    groups = brute_groups([r.text for r in docs])
+    groups = brute_groups([r.text for r in docs], corpus_pipeline.SHINGLE_WORDS)
     assert sorted(r.doc_id for r in kept) == [docs[i].doc_id for i, _, _, first in groups if first]
     text = {r.doc_id: r.text for r in docs}
     assert all(r.text == text[r.doc_id] for r in kept)

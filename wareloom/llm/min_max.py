@@ -8,11 +8,13 @@ if their full sets overlap enough.
 
 Equal sets are one class first, so copies cost one row each. Within a bucket
 candidates are not paired with each other: the member that shares most bands with
-others is the hub and is compared with the rest. Buckets whose members then still
-lie in different components get more hubs until all members have been hubs: all of
-them at once in a bucket of up to 32, eight times as many each round in a larger
-one. Pairs that are connected already or were compared before are left out.
-Components come from edge contraction.
+others is the hub and is compared with the rest. Members of buckets that then still
+hold several components are candidates of each other only if they could be linked:
+shingles are ordered from the rarest on, two sets that overlap enough have a common
+one among the first fifth of each, and its places bound the overlap. Nothing that can
+be linked is left out by that. Shingles that only one component has in front make no
+candidates, and the component that most sets with a shingle in front belong to is
+compared with the others, not with itself. Components come from edge contraction.
 
 Null and empty texts have an empty set and stay alone. Texts shorter than a
 shingle have their whole word sequence as one. Rows without doc_id stay alone and
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,9 +41,6 @@ SHINGLE_WORDS = 4
 THRESHOLD = 80  # hundredths
 BANDS = 20
 PERMUTATIONS_PER_BAND = 2
-MORE_HUBS = 8
-#: Buckets up to this size make all their members hubs in the second round.
-SMALL_BUCKET = 32
 
 _RNG = np.random.default_rng(20240229)
 FLIPS = _RNG.integers(0, 2**64, BANDS * PERMUTATIONS_PER_BAND, dtype=np.uint64)
@@ -146,32 +145,66 @@ def shared_buckets(classes: DataFrame) -> DataFrame:
     return materialize(shared.join(weights, "set_id"), "buckets")
 
 
-def hub_part(hubs_per_bucket: int) -> Column:
-    """Which of a bucket's hubs stands for a member: one for all, later one for each or for a share of them."""
-    own = F.xxhash64(F.lit(3), "set_id")
-    if hubs_per_bucket == 1:
-        return F.lit(0).cast("long")
-    return F.when(F.col("size") <= SMALL_BUCKET, own).otherwise(F.pmod(own, F.lit(hubs_per_bucket)))
-
-
-def candidate_pairs(members: DataFrame, hubs_per_bucket: int) -> DataFrame:
-    """Each member with the hubs of its bucket: ``a, b`` (a < b) that sizes and labels allow to be linked anew."""
-    part = hub_part(hubs_per_bucket)
+def hub_pairs(shared: DataFrame) -> DataFrame:
+    """Each member with the hub of its bucket: ``a, b`` (a < b) whose sizes allow a link."""
     hubs = (
-        members.withColumn("part", part)
-        .groupBy("bucket", "part")
-        .agg(F.max(F.struct("weight", "set_id", "n_shingles", "label")).alias("hub"))
-        .select("bucket", F.col("hub.set_id").alias("hub"), F.col("hub.n_shingles").alias("hub_n"), F.col("hub.label").alias("hub_label"))
+        shared.groupBy("bucket")
+        .agg(F.max(F.struct("weight", "set_id", "n_shingles")).alias("hub"))
+        .select("bucket", F.col("hub.set_id").alias("hub"), F.col("hub.n_shingles").alias("hub_n"))
     )
     small, large = F.least("n_shingles", "hub_n"), F.greatest("n_shingles", "hub_n")
     return (
-        members.join(hubs, "bucket")
-        .where((F.col("label") != F.col("hub_label")) & (100 * small >= THRESHOLD * large))
+        shared.join(hubs, "bucket")
+        .where((F.col("set_id") != F.col("hub")) & (100 * small >= THRESHOLD * large))
         .select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b"))
         .distinct()
     )
 
 
+def front_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``id, label, n, shingle, place`` of the shingles in front that members share; ``members`` have ``id, set_id, label``.
+
+    Shingles are ordered by the number of members that have them, then by hash. A set
+    of n can overlap another one enough only if they share one of its first
+    n - ceil(0.8 n) + 1. Shingles of one member come first and are counted, not listed.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [np.frombuffer(s.as_buffer(), np.int64) for s in batch.column(1)]
+            ids = np.repeat(batch.column(0).to_numpy(), [len(x) for x in lists])
+            flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(flat)], ["id", "shingle"])
+
+    every = members.join(sets, "set_id").select("id", "shingles").mapInArrow(run, "id long, shingle long")
+    spread = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    ordered = every.join(spread, "shingle").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("members", "shingle"))).alias("order"))
+    n, own = F.col("n_shingles"), F.col("n_shingles") - F.size("order")
+    reach = F.greatest(F.lit(0), n - F.ceil(n * THRESHOLD / 100) + 1 - own).cast("int")
+    front = ordered.join(members, "id").select("id", "label", n.alias("n"), own.alias("own"), F.slice("order", F.lit(1), reach).alias("front"))
+    return front.select("id", "label", "n", "own", F.posexplode("front").alias("at", "one")).select(
+        "id", "label", "n", F.col("one.shingle").alias("shingle"), (F.col("own") + F.col("at") + 1).alias("place")
+    )
+
+
+def front_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b`` (a < b) of members of different components that may overlap enough."""
+    front = materialize(front_shingles(members, sets), "fronts")
+    labels = front.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("rows"))
+    shared = labels.groupBy("shingle").agg(F.max_by("label", F.struct("rows", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
+    front = front.join(shared.where("labels > 1").select("shingle", "main"), "shingle")
+    x = front.where("label != main").select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("id", "label", "n", "place")])
+    y = front.select("shingle", (F.col("label") == F.col("main")).alias("y_main"), *[F.col(c).alias(f"y_{c}") for c in ("id", "label", "n", "place")])
+    # What two sets can have in common at most, if this is the first shingle that they share.
+    most = 1 + F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place"))
+    enough = (100 + THRESHOLD) * most >= THRESHOLD * (F.col("x_n") + F.col("y_n"))
+    once = F.col("y_main") | (F.col("x_id") < F.col("y_id"))
+    pairs = x.join(y, "shingle").where((F.col("x_label") != F.col("y_label")) & enough & once)
+    pairs = pairs.select(F.least("x_id", "y_id").alias("u"), F.greatest("x_id", "y_id").alias("v")).distinct()
+    one, two = (members.select(F.col("id").alias(i), F.col("set_id").alias(name)) for i, name in (("u", "one"), ("v", "two")))
+    return pairs.join(one, "u").join(two, "v").select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b"))
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, length: int = SHINGLE_WORDS) -> DataFrame:
     """``set_id, shingles`` of the wanted classes (``set_id, rep``), read again from the documents' texts."""
     texts = docs.select("doc_id", "text").join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id").select("set_id", "text")
@@ -260,36 +293,25 @@ def link(docs: DataFrame, signed: DataFrame, length: int = SHINGLE_WORDS) -> Dat
     sets = materialize(full_sets(docs, shared.select("set_id", "rep").distinct(), length), "sets")
     reps = shared.select("set_id", "rep").distinct()
 
-    members = shared.withColumn("label", F.hex("set_id"))
-    compared, links, labels, hubs = None, None, None, 1
-    while True:
-        pairs = candidate_pairs(members, hubs)
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        found = materialize(confirm(pairs, sets), "links")
-        compared = pairs if compared is None else compared.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        if labels is None or not found.isEmpty():
-            a, b = (reps.select(F.col("set_id").alias(c), F.struct("rep", "set_id").alias(r)) for c, r in (("a", "u"), ("b", "v")))
-            labels = connected(links.join(a, "a").join(b, "b").select("u", "v"))
-            labels = labels.select(F.col("node.set_id").alias("node"), F.col("label.rep").alias("component"), F.col("label.set_id").alias("first_set"))
-            labels = materialize(labels, "components")
-
-        # A bucket of two is done after its hub; others as long as components differ and not all were hubs.
-        placed = shared.where("size > 2").join(labels, F.col("set_id") == F.col("node"), "left")
-        placed = placed.withColumn("label", F.hex(F.coalesce("first_set", "set_id"))).drop("node", "component", "first_set")
-        part = hub_part(hubs)
-        open_buckets = (
-            placed.groupBy("bucket")
-            .agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("size").alias("n"), F.countDistinct(part).alias("hubs"))
-            .where("x != y and hubs < n")
-            .select("bucket")
-        )
-        members = materialize(placed.join(open_buckets, "bucket"), "members")
-        if members.isEmpty():
-            break
-        hubs *= MORE_HUBS
+    def components(links: DataFrame) -> DataFrame:
+        a, b = (reps.select(F.col("set_id").alias(c), F.struct("rep", "set_id").alias(r)) for c, r in (("a", "u"), ("b", "v")))
+        found = connected(links.join(a, "a").join(b, "b").select("u", "v"))
+        found = found.select(F.col("node.set_id").alias("node"), F.col("label.rep").alias("component"), F.col("label.set_id").alias("first_set"))
+        return materialize(found, "components")
+
+    links = materialize(confirm(materialize(hub_pairs(shared), "pairs"), sets), "links")
+    labels = components(links)
+
+    # A bucket of two is done after its hub; others are open as long as components differ.
+    placed = shared.where("size > 2").join(labels, F.col("set_id") == F.col("node"), "left")
+    placed = placed.select("bucket", "set_id", "n_shingles", F.hex(F.coalesce("first_set", "set_id")).alias("label"))
+    open_buckets = placed.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("bucket")
+    members = placed.join(open_buckets, "bucket").select("set_id", "n_shingles", "label").distinct()
+    members = materialize(members.withColumn("id", F.monotonically_increasing_id()), "members")
+    if not members.isEmpty():
+        found = materialize(confirm(materialize(front_pairs(members, sets), "pairs"), sets), "links")
+        if not found.isEmpty():
+            labels = components(links.unionByName(found))
     named = classes.join(labels, F.col("set_id") == F.col("node"), "left").where("copies > 1 or component is not null")
     return named.select("set_id", F.coalesce("component", "rep").alias("component"), F.coalesce("first_set", "set_id").alias("first_set"))
 
