@@ -16,6 +16,8 @@ from wareloom.llm.common import free_names, importable, materialize, read_table
 #: No SQL states the links, the mixture or the packing; tests compare the stages with brute force.
 ORACLE_SQL = None
 
+SHINGLE_WORDS = 5
+
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule rejects."""
@@ -25,13 +27,16 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest doc_id. Rows that share a doc_id stay or go by their own text.
 
-    Of rows with equal doc_id and set the smallest text digest stays, then the smallest other columns.
+    Texts are alike by shingles of five words. Of rows with equal doc_id and set the
+    smallest text digest stays, then the smallest digest of the other columns.
     """
     importable(spark)
     text_id, place = free_names(docs, "text_id", "place")
-    kept = min_max.kept_texts(docs).toDF("doc_id", text_id)
+    kept = min_max.kept_texts(docs, SHINGLE_WORDS).toDF("doc_id", text_id)
     named = docs.withColumn(text_id, F.md5(F.coalesce("text", F.lit("")))).join(kept, ["doc_id", text_id], "left_semi")
-    order = Window.partitionBy("doc_id", text_id).orderBy(*[F.col(c) for c in docs.columns if c != "doc_id"])
+    # Columns of any type have a text form, maps too.
+    others = F.to_json(F.struct(F.lit(0).alias(place), *[c for c in docs.columns if c not in ("doc_id", "text")]))
+    order = Window.partitionBy("doc_id", text_id).orderBy(F.md5(others))
     named = named.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
     return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
