@@ -154,3 +154,17 @@ def test_payload_replaces_the_ids(frame, vocabulary):
     rows = packing.pack_documents(frame(["a b c", None]), vocabulary, payload=F.crc32("ids").alias("crc")).collect()
     want = [zlib.crc32(np.array([*x, 1], "<u4").tobytes()) for x in true_ids(vocabulary, ["a b c", ""])]
     assert {r.doc_id: r.crc for r in rows} == dict(enumerate(want))
+
+
+def test_without_bounds_the_search_is_complete():
+    rng = random.Random(9)
+    for _ in range(25):
+        pieces = [rng.randrange(3, 31) for _ in range(rng.randrange(6, 12))]
+        patterns = packing.pack_lengths(counted(pieces), 30, effort=10**6, look=None)
+        assert packing.sequences(patterns) == fewest(pieces, 30)
+
+
+def test_helper_names_do_not_clash(spark):
+    pieces = spark.createDataFrame([(i, 0, 1 + i % 3, 7, 8, 9) for i in range(20)], "doc_id long, piece int, length long, _salt int, _rank int, _n int")
+    rows = packing.pack(pieces, 4).collect()
+    assert len(rows) == 20 and all((r._salt, r._rank, r._n) == (7, 8, 9) for r in rows)

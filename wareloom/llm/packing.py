@@ -26,15 +26,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from wareloom.llm.common import materialize
+from wareloom.llm.common import free_names, materialize
 from wareloom.llm.tokens import text_batches, word_tokenizer
 
 CAPACITY = 4096
 END_ID = 1
 #: Fillings tried in one search; a bound on effort, every piece is packed whatever it is.
 EFFORT = 10_000
-#: Steps looked ahead while completing one sequence.
-LOOK = 16
+#: Steps looked ahead while completing one sequence; None enumerates all its fillings.
+LOOK: int | None = 16
+#: Bytes of text that are encoded at a time; token arrays take many times that.
+SLICE_BYTES = 3_000_000
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -105,7 +107,7 @@ def dominated(used: dict[int, int], room: int, stock: Stock) -> bool:
     return False
 
 
-def completions(stock: Stock, capacity: int, look: int = LOOK) -> list[tuple[int, Filling]]:
+def completions(stock: Stock, capacity: int, look: int | None = LOOK) -> list[tuple[int, Filling]]:
     """Undominated fillings around the largest piece, least waste first."""
     largest = stock.sizes[-1]
     found: dict[Filling, int] = {}
@@ -120,7 +122,7 @@ def completions(stock: Stock, capacity: int, look: int = LOOK) -> list[tuple[int
             if not dominated(used, room, stock):
                 found.setdefault(as_filling(used), room)
             return room == 0
-        while at >= 0 and steps < look:
+        while at >= 0 and (look is None or steps < look):
             size = stock.sizes[at]
             if stock.left(size, used):
                 steps += 1
@@ -176,8 +178,13 @@ def sequences(patterns: list[Pattern]) -> int:
     return sum(copies for _, copies in patterns)
 
 
-def pack_lengths(counts: dict[int, int], capacity: int = CAPACITY, effort: int = EFFORT) -> list[Pattern]:
-    """Patterns that pack ``counts[length]`` pieces of each length into few sequences."""
+def pack_lengths(
+    counts: dict[int, int], capacity: int = CAPACITY, effort: int = EFFORT, look: int | None = LOOK
+) -> list[Pattern]:
+    """Patterns that pack ``counts[length]`` pieces of each length into few sequences.
+
+    Without bounds on ``effort`` and ``look`` the search is complete.
+    """
     counts = {size: n for size, n in counts.items() if n > 0}
     if not counts:
         return []
@@ -186,18 +193,18 @@ def pack_lengths(counts: dict[int, int], capacity: int = CAPACITY, effort: int =
     bound = lower_bound(counts, capacity)
     best = dive(counts, capacity, lambda s: best_fit(s, capacity))
     if sequences(best) > bound:
-        tight = dive(counts, capacity, lambda s: completions(s, capacity)[0][1])
+        tight = dive(counts, capacity, lambda s: completions(s, capacity, look)[0][1])
         best = min(best, tight, key=sequences)
-    return best if sequences(best) == bound else branch_and_bound(counts, capacity, best, bound, effort)
+    return best if sequences(best) == bound else branch_and_bound(counts, capacity, best, bound, effort, look)
 
 
 def branch_and_bound(
-    counts: dict[int, int], capacity: int, best: list[Pattern], bound: int, effort: int
+    counts: dict[int, int], capacity: int, best: list[Pattern], bound: int, effort: int, look: int | None = LOOK
 ) -> list[Pattern]:
     """Depth-first over fillings; a branch may waste no more than a better packing could."""
     total = sum(size * n for size, n in counts.items())
     stock, path, used, wasted = Stock(counts), [], 0, 0
-    frames = [iter(completions(stock, capacity))]
+    frames = [iter(completions(stock, capacity, look))]
     while frames and effort > 0:
         effort -= 1
         step = next(frames[-1], None)
@@ -224,7 +231,7 @@ def branch_and_bound(
                     return best
             frames.append(iter(()))
         else:
-            frames.append(iter(completions(stock, capacity)))
+            frames.append(iter(completions(stock, capacity, look)))
     return best
 
 
@@ -267,7 +274,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokenizer(tokenizer)
         for whole in batches:
-            for batch in text_batches(whole, 1):
+            for batch in text_batches(whole, 1, SLICE_BYTES):
                 ids, begin = encoder.encode_texts(batch.column(1))
                 n = batch.num_rows
                 stream = np.empty(len(ids) + n, "<u4")
@@ -295,27 +302,28 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity
     )
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, effort: int = EFFORT) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, effort: int = EFFORT, look: int | None = LOOK) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``.
 
-    ``pieces`` has ``doc_id, piece, length`` and anything else; it is read several
-    times and should be a written table. Ranks within a length come from counts per
-    (length, salt), as many salts as the square root of the rows, so neither a
-    frequent length nor the table of counts meets in one task.
+    ``pieces`` has ``doc_id, piece, length`` and anything else but the two results; it
+    is read several times and should be a written table. Ranks within a length come
+    from counts per (length, salt), as many salts as the square root of the rows, so
+    neither a frequent length nor the table of counts meets in one task.
     """
+    salt, n, base, row, rank = free_names(pieces, "_salt", "_n", "_base", "_row", "_rank")
     salts = max(1, math.isqrt(pieces.count()))
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(F.lit(5), "doc_id", "piece"), F.lit(salts)))
-    groups = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
-    counts = {r.length: r.n for r in groups.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
-    slots = Slots(pack_lengths(counts, capacity, effort))
-
-    below = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    bases = groups.select("length", "_salt", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_base"))
-    within = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece")
+    salted = pieces.withColumn(salt, F.pmod(F.xxhash64(F.lit(5), "doc_id", "piece"), F.lit(salts)))
+    groups = salted.groupBy("length", salt).agg(F.count("*").alias(n))
+    counts = {r["length"]: r["total"] for r in groups.groupBy("length").agg(F.sum(n).alias("total")).collect()}
+    slots = Slots(pack_lengths(counts, capacity, effort, look))
+
+    below = Window.partitionBy("length").orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
+    bases = groups.select("length", salt, F.coalesce(F.sum(n).over(below), F.lit(0)).alias(base))
+    within = Window.partitionBy("length", salt).orderBy("doc_id", "piece")
     ranked = (
-        salted.withColumn("_row", F.row_number().over(within))
-        .join(bases, ["length", "_salt"])
-        .select(*pieces.columns, (F.col("_base") + F.col("_row") - 1).alias("_rank"))
+        salted.withColumn(row, F.row_number().over(within))
+        .join(bases, ["length", salt])
+        .select(*pieces.columns, (F.col(base) + F.col(row) - 1).alias(rank))
     )
     result = T.StructType(
         [*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
@@ -340,6 +348,8 @@ def pack_documents(
     end_id: int = END_ID,
     capacity: int = CAPACITY,
     payload: Column | None = None,
+    effort: int = EFFORT,
+    look: int | None = LOOK,
 ) -> DataFrame:
     """``doc_id, piece, start, length, sequence_id, offset`` and each piece's ids.
 
@@ -348,4 +358,4 @@ def pack_documents(
     """
     pieces = token_pieces(docs, tokenizer, end_id, capacity)
     kept = F.col("ids") if payload is None else payload
-    return pack(materialize(pieces.select("doc_id", "piece", "start", "length", kept), "pieces"), capacity)
+    return pack(materialize(pieces.select("doc_id", "piece", "start", "length", kept), "pieces"), capacity, effort, look)

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 # A word of plain letters (each lower-cases to one letter and composes with nothing), then marks that are
 # tokens of their own.
 SPLIT = r"^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,!?%$&*#|;:]*)$"
-CACHE_WORDS = 600_000
+CACHE_WORDS = 200_000
 END_OF_WORD = "</w>"
 
 
