@@ -35,30 +35,58 @@ def comparable_pairs(df: DataFrame) -> list[tuple[str, str]]:
     return [(a, b) for a, b in combinations(df.columns, 2) if kinds[a] == kinds[b]]
 
 
+#: Rows looked at for proof that two columns differ.
+WITNESS_ROWS = 500
+
+
+def same_value(a, b) -> bool:
+    """Equality as in SQL, where not-a-number equals itself."""
+    return a == b or (a != a and b != b)
+
+
+def undecided_pairs(df: DataFrame, pairs: list[tuple[str, str]], rows: int = WITNESS_ROWS) -> list[tuple[str, str]]:
+    """The pairs for which none of the first rows met shows two different values.
+
+    One row with different values settles a pair for good, so nothing is guessed
+    from these rows: they only spare the full pass the pairs that differ almost
+    everywhere. A bounded number of rows comes to the driver.
+    """
+    met = [r.asDict(recursive=True) for r in df.select(*dict.fromkeys(c for p in pairs for c in p)).limit(rows).collect()] if pairs else []
+    values = {c: [r[c] for r in met] for c in dict.fromkeys(c for p in pairs for c in p)}
+
+    def differ(a: str, b: str) -> bool:
+        return any(x is not None and y is not None and not same_value(x, y) for x, y in zip(values[a], values[b]))
+
+    return [(a, b) for a, b in pairs if not differ(a, b)]
+
+
 def duplicate_columns(df: DataFrame, require_overlap: bool = False, empty_equals_all: bool = False) -> list[str]:
-    """Columns equal to an earlier one of the same type wherever both have a value; one pass over all rows.
+    """Columns equal to an earlier one of the same type wherever both have a value.
 
     Two columns never filled in the same row count as equal unless
     ``require_overlap``. A column without any value equals other empty columns of
     its type only; with ``empty_equals_all`` it equals every column of its type.
+    Pairs that a few rows prove different are left out of the one pass over all rows.
     """
     pairs = comparable_pairs(df)
+    open_pairs = undecided_pairs(df, pairs)
     filled = [F.count(c).alias(f"filled_{i}") for i, c in enumerate(df.columns)]
     same = [
         F.coalesce(F.bool_and(F.col(a) == F.col(b)), F.lit(not require_overlap)).alias(f"same_{i}")
-        for i, (a, b) in enumerate(pairs)
+        for i, (a, b) in enumerate(open_pairs)
     ]
     row = df.agg(*filled, *same).first()
     empty = {c for i, c in enumerate(df.columns) if row[f"filled_{i}"] == 0}
+    same_pairs = {pair for i, pair in enumerate(open_pairs) if row[f"same_{i}"]}
 
-    def equal(i: int, a: str, b: str) -> bool:
+    def equal(a: str, b: str) -> bool:
         if a in empty and b in empty:
             return True
         if a in empty or b in empty:
             return empty_equals_all
-        return row[f"same_{i}"]
+        return (a, b) in same_pairs
 
-    found = {b for i, (a, b) in enumerate(pairs) if equal(i, a, b)}
+    found = {b for a, b in pairs if equal(a, b)}
     return [c for c in df.columns if c in found]
 
 
