@@ -2,6 +2,7 @@ import hashlib
 import re
 
 from conftest_llm import ODD_TEXTS
+from pyspark.sql import functions as F
 
 from wareloom.llm import sanitise as S
 
@@ -130,5 +131,46 @@ def test_terms_far_from_a_rare_entity_are_found(frame):
     assert clean[5:] == plain
 
 
+def test_a_text_of_many_spans(frame):
+    """20,000 addresses in one text, found and masked in one go."""
+    text = " ".join(f"ü{i} u{i}@h{i}.org" for i in range(20_000))
+    docs = frame([text, "plain"])
+    row = S.find_spans(docs).where("doc_id = 0").first()
+    assert row.n_email == 20_000
+    assert row.spans.split(",")[:20_000:4999] == [f"email:{m.start()}:{m.end()}" for m in list(re.finditer(PATTERNS["email"], text))[::4999]]
+    clean = S.sanitise(docs).where("doc_id = 0").first().text
+    assert clean.count("[EMAIL]") == 20_000 and "@" not in clean
+
+
+def test_scans_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(S, "BLOCK", 3)
+    rows = spark.createDataFrame([([],), ([4],), ([1, 2, 3],), (list(range(20)),)], "v array<bigint>")
+    zero = F.lit(0).cast("bigint")
+    out = rows.select("v", S.scan(F.col("v"), zero, S.add).alias("sums"), S.scan(F.col("v"), zero, lambda x, y: F.greatest(x, y)).alias("most")).collect()
+    for r in out:
+        assert r.sums == [sum(r.v[:i]) for i in range(len(r.v))]
+        assert r.most == [max([0, *r.v[:i]]) for i in range(len(r.v))]
+
+
+def test_terms_that_touch_base_spans_are_left_out(spark):
+    span = "array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string>>"
+    base = [(5, 0, 9, "email", "x"), (7, 3, 20, "phone", "x"), (30, 1, 35, "ip", "x")]
+    terms = [(a, 4, b, "term", "t") for a, b in ((0, 5), (0, 6), (19, 22), (20, 25), (28, 31), (36, 40), (33, 34))]
+    row = spark.createDataFrame([(base, terms)], f"base {span}, terms {span}").select(S.with_terms(F.col("base"), F.col("terms")).alias("s")).first()
+    free = [t for t in terms if not any(t[0] < b[2] and b[0] < t[2] for b in base)]
+    assert [tuple(x) for x in row.s] == sorted([*base, *free])
+
+
+def test_terms_that_mostly_stand_without_the_entity_stay(frame):
+    """The share decides, not the size of the corpus: one of two texts never reveals, three of four do."""
+    near = [f"zorblax says {w}@leak.example.org" for w in ("al",)] + ["zorblax went home"]
+    four = [f"vexlor {w} bo@leak.example.org" for w in ("one", "two", "three")] + ["vexlor left"]
+    for size in (300, 3000):
+        plain = [f"says went home left plain {i} text" for i in range(size)]
+        texts = [*near, *four, *plain]
+        rows = S.find_spans(frame(texts)).orderBy("doc_id").collect()
+        assert rows[1].n_term == 0 and all(r.n_term == 0 for r in rows[6:])
+
+
 def test_no_documents(frame):
     assert S.find_spans(frame([])).count() == 0 and S.sanitise(frame([])).count() == 0

@@ -7,9 +7,12 @@ for a term ``t`` in a text with an entity ``e``, texts with ``t`` count as evide
     disclosure(t, e) = log(P(e | t) / P(e)) / -log P(e)
 
 is the share of the entity's information that the term reveals, from co-occurrence
-over the distinct texts of the whole corpus. A term counts if the lower end of the
-confidence interval of P(e | t) reaches a threshold, so an entity of a single text
-can be revealed too. Such terms are generalised to a mark wherever they occur, those
+over the distinct texts of the whole corpus. A term counts if its disclosure at the
+lower end of the confidence interval of P(e | t) reaches a threshold, so an entity of
+a single text can be revealed too. That share of information tends to one for any
+P(e | t) as the corpus grows, so the term's own texts decide as well, which do not
+depend on the corpus: either all of them hold the entity, or by one standard error
+more than ``MOST_TEXTS`` of them do. Such terms are generalised to a mark wherever they occur, those
 whose disclosure is above a second threshold are removed.
 
 Null texts count as empty and have no spans. Equal texts count once as evidence
@@ -38,10 +41,17 @@ HINTS = {"email": "@", "phone": "+"}
 TERM = r"\p{L}{3,}+"
 #: Standard errors that the share of a term's texts with an entity is lowered by before it counts as shown.
 CONFIDENCE = 1.96
+#: A term that also stands without the entity must stand with it in this share of its texts, one standard error allowed for.
+MOST_TEXTS = 0.5
 #: At most so many of the most common words are left out before a join on words.
 COMMON = 1 << 16
 GENERALISE, REMOVE = 0.7, 0.95
 
+#: Values of an array that are scanned together.
+BLOCK = 256
+#: Above every place in a text.
+FAR = (1 << 62) - 1
+
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string>>"
 
 
@@ -49,31 +59,45 @@ def no_spans() -> Column:
     return F.array().cast(SPAN)
 
 
+def scan(values: Column, zero: Column, merge) -> Column:
+    """What ``merge`` makes of all values before each one, in blocks, so that long arrays cost little more than short ones."""
+
+    def before(part: Column, first: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(part) - 1)
+        return F.transform(places, lambda k: F.aggregate(F.slice(part, F.lit(1), k), first, merge))
+
+    def blocks(v: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")), lambda k: F.slice(v, k * BLOCK + 1, F.lit(BLOCK)))
+
+    def of_blocks(parts: Column) -> Column:
+        whole = F.transform(parts, lambda part: F.aggregate(part, zero, merge))
+        return let(whole, lambda w: F.flatten(F.zip_with(parts, before(w, zero), before)))
+
+    return let(values, lambda v: F.when(F.size(v) == 0, v).otherwise(let(blocks(v), of_blocks)))
+
+
+def add(x: Column, y: Column) -> Column:
+    return x + y
+
+
 def find_all(text: Column, pattern: Column, kind: str) -> Column:
     """Spans of all matches: the gaps between matches and the matches give every place."""
     rank = KINDS.index(kind)
 
-    def walk(gaps: Column, found: Column) -> Column:
-        start = F.struct(F.lit(0).cast("bigint").alias("at"), no_spans().alias("out"))
-
-        def step(state: Column, pair: Column) -> Column:
-            begin = state["at"] + F.char_length(pair["gap"])
-            end = begin + F.char_length(pair["hit"])
-            span = F.struct(
-                begin.alias("start"),
-                F.lit(rank).alias("rank"),
-                end.alias("end"),
-                F.lit(kind).alias("kind"),
-                pair["hit"].alias("value"),
-            )
-            return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
-
-        pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, v: F.struct(g.alias("gap"), v.alias("hit")))
-        return F.aggregate(pairs, start, step, lambda s: s["out"])
+    def spans(gaps: Column, found: Column) -> Column:
+        steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, v: (F.char_length(g) + F.char_length(v)).cast("bigint"))
+        ends = let(steps, lambda n: F.zip_with(scan(n, F.lit(0).cast("bigint"), add), n, add))
+        return F.zip_with(
+            ends,
+            found,
+            lambda end, v: F.struct(
+                (end - F.char_length(v)).alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), v.alias("value")
+            ),
+        )
 
     return let(
         F.regexp_extract_all(text, pattern, F.lit(0)),
-        lambda found: F.when(F.size(found) == 0, no_spans()).otherwise(walk(F.split(text, pattern, -1), found)),
+        lambda found: F.when(F.size(found) == 0, no_spans()).otherwise(spans(F.split(text, pattern, -1), found)),
     )
 
 
@@ -120,17 +144,31 @@ def entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), plain)
 
 
-def outside(text: Column, spans: Column) -> Column:
-    """The text with a blank in place of every span."""
+def cut_at(text: Column, spans: Column, put) -> Column:
+    """The text with ``put(span, fresh, gap)`` for every span and the gap before it; ``fresh`` if it begins behind all earlier ones.
+
+    The text is turned into four bytes a character once, so a gap is cut where it lies.
+    """
+    ends = F.transform(spans, lambda s: s["end"])
+    nothing = F.lit(0).cast("bigint")
+
+    def piece(raw: Column, start: Column, end: Column) -> Column:
+        size = F.greatest(nothing, end - start)
+        return F.decode(F.substring(raw, (4 * start + 1).cast("int"), (4 * size).cast("int")), "UTF-32")
 
-    def step(state: Column, span: Column) -> Column:
-        size = F.greatest(F.lit(0).cast("bigint"), span["start"] - state["at"])
-        gap = F.substring(text, (state["at"] + 1).cast("int"), size.cast("int"))
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), F.concat(state["out"], gap, F.lit(" ")).alias("out"))
+    def joined(raw: Column) -> Column:
+        # Where the spans before each one end.
+        reached = scan(ends, nothing, lambda x, y: F.greatest(x, y))
+        parts = F.zip_with(spans, reached, lambda s, at: put(s, s["start"] >= at, piece(raw, at, s["start"])))
+        rest = piece(raw, F.array_max(ends), F.char_length(text).cast("bigint"))
+        return F.concat(F.array_join(parts, ""), rest)
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    rest = lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.char_length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, rest))
+    return F.when(F.size(spans) == 0, text).otherwise(let(F.encode(text, "UTF-32"), joined))
+
+
+def outside(text: Column, spans: Column) -> Column:
+    """The text with a blank in place of every span."""
+    return cut_at(text, spans, lambda span, fresh, gap: F.concat(gap, F.lit(" ")))
 
 
 def terms_of(text: Column) -> Column:
@@ -161,10 +199,10 @@ def disclosure(share: Column, held: Column, total: int) -> Column:
     return F.ln(share / prior) / -F.ln(prior)
 
 
-def least_share(both: Column, texts: Column) -> Column:
+def least_share(both: Column, texts: Column, errors: float = CONFIDENCE) -> Column:
     """Lower end of Wilson's interval of P(e | t), from ``both`` of ``texts``; never 0 for ``both`` above 0."""
-    p, z2 = both / texts, CONFIDENCE**2
-    half = CONFIDENCE * F.sqrt(p * (1 - p) / texts + z2 / (4 * texts * texts))
+    p, z2 = both / texts, errors**2
+    half = errors * F.sqrt(p * (1 - p) / texts + z2 / (4 * texts * texts))
     return F.greatest((p + z2 / (2 * texts) - half) / (1 + z2 / texts), F.lit(1e-12))
 
 
@@ -224,8 +262,9 @@ def revealing_terms(found: DataFrame, threshold: float = GENERALISE) -> DataFram
         .agg(F.count("*").alias("both"))
     )
     # The lower end says whether the term reveals at all, the share itself how much.
+    mostly = (F.col("both") == F.col("texts")) | (least_share(F.col("both"), F.col("texts"), 1.0) > MOST_TEXTS)
     weighed = materialize(
-        pairs.where(disclosure(least_share(F.col("both"), F.col("texts")), F.col("held"), total) >= threshold)
+        pairs.where(mostly & (disclosure(least_share(F.col("both"), F.col("texts")), F.col("held"), total) >= threshold))
         .select("term", disclosure(F.col("both") / F.col("texts"), F.col("held"), total).alias("disclosure"))
         .groupBy("term")
         .agg(F.max("disclosure").alias("disclosure")),
@@ -251,8 +290,24 @@ def term_spans(text: Column, terms: Column) -> Column:
 
 def with_terms(base: Column, terms: Column) -> Column:
     """Base spans and the term spans that touch none of them, in order."""
-    free = F.filter(terms, lambda s: ~F.exists(base, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
-    return F.when(terms.isNull() | (F.size(terms) == 0), base).otherwise(F.sort_array(F.concat(base, free)))
+    term = KINDS.index("term")
+    nothing, far = F.lit(0).cast("bigint"), F.lit(FAR).cast("bigint")
+
+    def free(every: Column) -> Column:
+        # How far the base spans before reach, and where those behind begin.
+        reached = scan(F.transform(every, lambda s: F.when(s["rank"] == term, nothing).otherwise(s["end"])), nothing, lambda x, y: F.greatest(x, y))
+        begins = F.reverse(F.transform(every, lambda s: F.when(s["rank"] == term, far).otherwise(s["start"])))
+        following = F.reverse(scan(begins, far, lambda x, y: F.least(x, y)))
+        marked = F.zip_with(
+            every, F.arrays_zip(reached.alias("before"), following.alias("after")), lambda s, n: F.struct(s.alias("span"), n.alias("near"))
+        )
+        kept = F.filter(
+            marked,
+            lambda m: (m["span"]["rank"] != term) | ((m["near"]["before"] <= m["span"]["start"]) & (m["near"]["after"] >= m["span"]["end"])),
+        )
+        return F.transform(kept, lambda m: m["span"])
+
+    return F.when(terms.isNull() | (F.size(terms) == 0), base).otherwise(let(F.sort_array(F.concat(base, terms)), free))
 
 
 def span_text(spans: Column) -> Column:
@@ -297,17 +352,7 @@ def masked(text: Column, spans: Column, terms: Column, remove: float = REMOVE) -
         gone = F.coalesce(F.get(revealed, F.lit(0))["disclosure"] > remove, F.lit(False))
         return F.when(span["kind"] != "term", F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))).when(gone, "").otherwise("[TERM]")
 
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(text, (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int"))
-        fresh = span["start"] >= state["at"]
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(fresh, F.concat(state["out"], gap, mark(span))).otherwise(state["out"]).alias("out"),
-        )
-
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    whole = F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.char_length(text))))
-    return F.when(F.size(spans) == 0, text).otherwise(whole)
+    return cut_at(text, spans, lambda span, fresh, gap: F.when(fresh, F.concat(gap, mark(span))).otherwise(""))
 
 
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
