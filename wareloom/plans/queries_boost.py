@@ -228,8 +228,8 @@ SEARCH_ROUNDS, SEARCH_LEAST, SEARCH_AT_ONCE = 81, 3, 25
 
 @query(
     "m13_boosting_search",
-    f"SELECT budget, true AS share_kept, true AS budget_kept, {TRIALS}::bigint AS n_trials, true AS best_matches "
-    "FROM (SELECT unnest([3, 9, 27, 81])::int AS budget)",
+    "SELECT trial::int AS trial, true AS in_ranges, true AS budget_kept, true AS share_kept, true AS best_matches "
+    f"FROM range({TRIALS}) t(trial)",
 )
 def _boosting_search(spark, sf_dir):
     """Fifty trials in generations: a third goes on after each budget, and the best area is that of the best model's scores."""
@@ -238,15 +238,20 @@ def _boosting_search(spark, sf_dir):
         rows, features, KEY, trials=TRIALS, at_once=SEARCH_AT_ONCE, rounds=SEARCH_ROUNDS, least_rounds=SEARCH_LEAST
     )
     best = roc_auc(model.transform(rows.where("split = 'val'")).withColumn("p1", probability()), "p1", "label").first().auc
-    table = S.trial_table(spark, trials)
-    generation = F.floor(F.col("trial") / SEARCH_AT_ONCE)
-    steps = table.withColumn("generation", generation).select("generation", "rounds", "rungs", F.posexplode("rungs").alias("place", "budget"))
-    counts = steps.groupBy("place", "budget", "generation").agg(
-        F.count("*").alias("n"), F.max(F.when(F.size("rungs") == F.col("place") + 1, F.col("rounds") <= F.col("budget")).otherwise(True)).alias("kept")
+    table = S.trial_table(spark, trials).withColumn("generation", F.floor(F.col("trial") / SEARCH_AT_ONCE))
+    params = F.from_json("params", ", ".join(f"{name} double" for name in S.BOOSTING_SPACE))
+    inside = [params[name].between(d.low, d.high) for name, d in S.BOOSTING_SPACE.items()]
+    last = F.element_at("rungs", -1)
+    # A trial ends at the budget of its last rung, or earlier when its area has not risen.
+    kept = F.when(F.col("ended") == "patience", F.col("rounds") <= last).otherwise(F.col("rounds") == last)
+    reached = table.groupBy("generation", F.explode("rungs").alias("budget")).count().collect()
+    steps = S.budgets(SEARCH_LEAST, SEARCH_ROUNDS, 3)
+    counts = {(r.generation, steps.index(r.budget)): r["count"] for r in reached}
+    share = all(n <= math.ceil(counts[g, place - 1] / 3) for (g, place), n in counts.items() if place)
+    return table.select(
+        "trial",
+        reduce(lambda x, y: x & y, inside).alias("in_ranges"),
+        kept.alias("budget_kept"),
+        F.lit(share).alias("share_kept"),
+        F.lit(abs(best - trials[0].value) < AUC_STEP).alias("best_matches"),
     )
-    most = F.ceil(SEARCH_AT_ONCE / F.pow(F.lit(3), F.col("place")))
-    return counts.groupBy("budget").agg(
-        # Rounding up at each of the budgets.
-        F.bool_and(F.col("n") <= most + F.col("place")).alias("share_kept"),
-        F.bool_and("kept").alias("budget_kept"),
-    ).select("budget", "share_kept", "budget_kept", F.lit(len(trials)).cast("long").alias("n_trials"), F.lit(abs(best - trials[0].value) < AUC_STEP).alias("best_matches"))
