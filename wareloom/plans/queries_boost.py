@@ -244,7 +244,7 @@ def _boosting_search(spark, sf_dir):
     last = F.element_at("rungs", -1)
     # A trial ends at the budget of its last rung, or earlier when its area has not risen.
     kept = F.when(F.col("ended") == "patience", F.col("rounds") <= last).otherwise(F.col("rounds") == last)
-    reached = table.groupBy("generation", F.explode("rungs").alias("budget")).count().collect()
+    reached = table.select("generation", F.explode("rungs").alias("budget")).groupBy("generation", "budget").count().collect()
     steps = S.budgets(SEARCH_LEAST, SEARCH_ROUNDS, 3)
     counts = {(r.generation, steps.index(r.budget)): r["count"] for r in reached}
     share = all(n <= math.ceil(counts[g, place - 1] / 3) for (g, place), n in counts.items() if place)
