@@ -3,10 +3,12 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from wareloom.operators.association import corr_matrix, corr_pairs, cramers_v, cramers_v_matrix
 from wareloom.operators.profile import box_stats, density, describe, histogram, normal_reference
+from wareloom.operators import ranks
 from wareloom.operators.ranks import empirical_cdf, exact_quantiles, order_statistics, running_totals, value_counts_long
 
 
@@ -128,3 +130,28 @@ def test_cramers_matrix_is_square(spark):
     df = spark.createDataFrame([("a", "x", "1"), ("b", "y", "2"), ("a", "y", "1")], "p string, q string, r string")
     rows = cramers_v_matrix(df, ["p", "q", "r"]).collect()
     assert len(rows) == 9 and all(r.v == 1.0 for r in rows if r.x == r.y)
+
+
+def skewed(spark):
+    return spark.range(60_000).select(F.exp(F.col("id") / 1500).alias("x"), (F.col("id") % 7).cast("double").alias("y"))
+
+
+def test_a_sketch_gives_the_first_range(spark, monkeypatch):
+    passes = []
+    monkeypatch.setattr(ranks, "_bins_of", lambda *a, real=ranks._bins_of: passes.append(1) or real(*a))
+    df = skewed(spark)
+    x = np.exp(np.arange(60_000) / 1500)
+    found = {r.variable: r for r in exact_quantiles(df, ["x", "y"], [0.01, 0.5, 0.9]).collect()}
+    assert [found["x"][f"q_{i}"] for i in range(3)] == pytest.approx(np.quantile(x, [0.01, 0.5, 0.9]))
+    with_sketch = len(passes)
+    order_statistics(df, {"x": {599, 600, 29_999, 30_000}})
+    assert with_sketch < len(passes) - with_sketch
+
+
+def test_a_sketch_that_misses_changes_no_result(spark, monkeypatch):
+    def wrong(df, columns, shares, real=ranks._starts):
+        return {c: Row(**{**s.asDict(), "sketched": [1e6, 1e6 + 1] * len(shares)}) for c, s in real(df, columns, shares).items()}
+
+    monkeypatch.setattr(ranks, "_starts", wrong)
+    found = exact_quantiles(skewed(spark), ["x"], [0.25, 0.75]).first()
+    assert [found.q_0, found.q_1] == pytest.approx(np.quantile(np.exp(np.arange(60_000) / 1500), [0.25, 0.75]))

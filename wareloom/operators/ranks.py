@@ -20,8 +20,9 @@ from wareloom.operators.levels import level_counts
 from wareloom.sources.store import materialize
 
 
-# Bins per refinement of a value range.
+# Bins per refinement of a value range, and the accuracy of the sketch that gives the first range.
 BINS = 1024
+SKETCH = 10_000
 
 
 def running_totals(
@@ -102,40 +103,79 @@ def _bins_of(df: DataFrame, ranges: list[tuple[str, float, float]]) -> dict[int,
     return bins
 
 
-def order_statistics(df: DataFrame, wanted: dict[str, set[int]]) -> dict[tuple[str, int], float]:
+def _finite(c: str) -> Column:
+    v = F.col(c).cast("double")
+    return F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
+
+
+def _starts(df: DataFrame, columns: list[str], shares: list[float]) -> dict:
+    """Per column how many values are -inf, finite, inf and anything, the finite range, and sketched values around each share."""
+    around = [min(max(share + side / SKETCH, 0.0), 1.0) for share in shares for side in (-2, 2)]
+    cells = []
+    for c in columns:
+        v, finite = F.col(c).cast("double"), _finite(c)
+        sketched = F.percentile_approx(finite, around, SKETCH) if around else F.lit(None).cast("array<double>")
+        cells.append(
+            F.struct(
+                F.count(v).alias("size"),
+                F.count_if(v == -float("inf")).alias("below"),
+                F.count(finite).alias("n"),
+                F.count_if((v == float("inf")) & ~F.isnan(v)).alias("above"),
+                F.min(finite).alias("low"),
+                F.max(finite).alias("high"),
+                sketched.alias("sketched"),
+            ).alias(c)
+        )
+    return df.agg(*cells).first().asDict() if cells else {}
+
+
+def _rows_before(df: DataFrame, ranges: list[tuple[str, float, float]]) -> list[tuple[int, int]]:
+    """Per range the finite values below it and those in it."""
+    cells = []
+    for i, (c, low, high) in enumerate(ranges):
+        v = _finite(c)
+        cells += [F.count_if(v < low).alias(f"below_{i}"), F.count_if((v >= low) & (v <= high)).alias(f"inside_{i}")]
+    row = df.agg(*cells).first()
+    return [(row[f"below_{i}"], row[f"inside_{i}"]) for i in range(len(ranges))]
+
+
+def order_statistics(
+    df: DataFrame, wanted: dict[str, set[int]], starts: dict | None = None, shares: list[float] = ()
+) -> dict[tuple[str, int], float]:
     """The k-th smallest value (from 0) of columns, for each wanted k, without sorting or writing.
 
     Each pass counts the rows of the range that still holds the value in 1024
-    bins, and the next range is what the bin with the value spans. Infinities and
-    NaN, the largest, are counted apart.
+    bins, and the next range is what the bin with the value spans. The first
+    range comes from a sketch, where ``starts`` have one: it is used only if
+    counting shows that the value lies in it, else the search starts from all
+    values. Infinities and NaN, the largest, are counted apart.
     """
-    x = {c: F.col(c).cast("double") for c in wanted}
+    starts = starts or _starts(df, list(wanted), [])
     infinite = float("inf")
-    finite = {c: F.when(~F.isnan(v) & (F.abs(v) < infinite), v) for c, v in x.items()}
-    row = df.agg(
-        *[
-            F.struct(
-                F.count_if(v == -infinite).alias("below"),
-                F.count(finite[c]).alias("n"),
-                F.count_if((v == infinite) & ~F.isnan(v)).alias("above"),
-                F.min(finite[c]).alias("low"),
-                F.max(finite[c]).alias("high"),
-            ).alias(c)
-            for c, v in x.items()
-        ]
-    ).first()
     found: dict[tuple[str, int], float] = {}
     # (column, low, high) -> [(k, k counted from the start of the range)]
     state: dict[tuple[str, float, float], list[tuple[int, int]]] = {}
+    guesses: dict[tuple[str, float, float], list[tuple[int, int]]] = {}
     for c, ks in wanted.items():
-        s = row[c]
+        s = starts[c]
         for k in ks:
             if k < s.below:
                 found[c, k] = -infinite
             elif k < s.below + s.n:
-                state.setdefault((c, s.low, s.high), []).append((k, k - s.below))
+                at = k - s.below
+                near = _sketched_range(s, at, shares)
+                into = state if near is None else guesses
+                into.setdefault((c, *(near or (s.low, s.high))), []).append((k, at))
             else:
                 found[c, k] = infinite if k < s.below + s.n + s.above else float("nan")
+    if guesses:
+        ranges = list(guesses)
+        for (c, low, high), (below, inside) in zip(ranges, _rows_before(df, ranges)):
+            for k, at in guesses[c, low, high]:
+                if below <= at < below + inside:
+                    state.setdefault((c, low, high), []).append((k, at - below))
+                else:
+                    state.setdefault((c, starts[c].low, starts[c].high), []).append((k, at))
     while state:
         for c, low, high in [r for r in state if r[1] == r[2]]:
             found.update({(c, k): low for k, _ in state.pop((c, low, high))})
@@ -153,12 +193,20 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]]) -> dict[tuple[s
     return found
 
 
+def _sketched_range(start, at: int, shares: list[float]) -> tuple[float, float] | None:
+    """The sketched values around the share that is nearest to a place; None without a sketch."""
+    if not start.sketched:
+        return None
+    nearest = min(range(len(shares)), key=lambda i: abs(shares[i] - at / max(1, start.n - 1)))
+    return start.sketched[2 * nearest], start.sketched[2 * nearest + 1]
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> DataFrame:
     """One row per column with ``q_0 .. q_k``: linear interpolation, exact. Columns without values have none."""
-    sizes = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    places = {c: [share * (sizes[c] - 1) for share in shares] for c in columns if sizes[c]}
+    starts = _starts(df, columns, shares)
+    places = {c: [share * (starts[c].size - 1) for share in shares] for c in columns if starts[c].size}
     wanted = {c: {k for p in ps for k in (math.floor(p), math.ceil(p))} for c, ps in places.items()}
-    found = order_statistics(df, wanted) if wanted else {}
+    found = order_statistics(df, wanted, starts, shares) if wanted else {}
     rows = []
     for c, ps in places.items():
         ends = [(found[c, math.floor(p)], found[c, math.ceil(p)], p - math.floor(p)) for p in ps]

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType
 
@@ -16,6 +15,7 @@ from wareloom.operators import split as L
 from wareloom.operators import train as T
 from wareloom.operators.clean import FlagsToText
 from wareloom.operators.entity import entity_aggregate
+from wareloom.operators.ranks import running_totals
 from wareloom.operators.steps import Step
 from wareloom.plans import training as W
 from wareloom.plans.driver_tables import listing_rows, table
@@ -694,16 +694,20 @@ def _trained_metrics(spark, sf_dir):
     """Metrics per split beside the same from the ranks and losses of the scores."""
     rows, _, model = trained(spark, sf_dir)
     scores_ = T.scored(model, rows)
-    by_split = Window.partitionBy("split")
-    ranked = scores_.withColumn(
-        "place",
-        F.rank().over(by_split.orderBy("p1")) + (F.count("*").over(Window.partitionBy("split", "p1")) - 1) / 2,
+    # Tied scores are one row, so no task ranks the rows of a split.
+    one = F.lit(1).cast("bigint")
+    counts = scores_.groupBy("split", "p1").agg(
+        F.sum(one).alias("n"), F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
-    pos, neg = F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)
-    again = ranked.groupBy("split").agg(
-        ((F.sum(F.when(F.col("label") == 1, F.col("place"))) - pos * (pos + 1) / 2) / (pos * neg)).alias("auc_again"),
-        F.avg(-F.ln(F.when(F.col("label") == 1, F.col("p1")).otherwise(F.col("p0")))).alias("loss_again"),
+    ranked = running_totals(counts, ["split"], ["p1"], {"cum": "n"}).groupBy("split").agg(
+        F.sum(F.col("pos") * (F.col("cum") - (F.col("n") - 1) / 2)).alias("places"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
     )
+    losses = scores_.groupBy("split").agg(
+        F.avg(-F.ln(F.when(F.col("label") == 1, F.col("p1")).otherwise(F.col("p0")))).alias("loss_again")
+    )
+    pos, neg = F.col("pos"), F.col("neg")
+    area = ((F.col("places") - pos * (pos + 1) / 2) / (pos * neg)).alias("auc_again")
+    again = ranked.select("split", area).join(losses, "split")
     return W.split_metrics(scores_).join(again, "split").select(
         "split",
         "positive_class",
