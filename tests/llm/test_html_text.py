@@ -38,6 +38,19 @@ PAGES = {
     "nothing": ("<html><body><nav>a</nav></body></html>", ""),
     "unclosed": (f"<article><p>{P1}<div class=ad>{P2}", P1),
     "short only": ("<article><p>Hi.</p></article>", "Hi."),
+    "head without an end": (f"<html><head><title>T</title><meta charset=x><body><p>{P1}</p></body></html>", P1),
+    "anchor without a target": (f"<body><a name=top><p>{P1}</p><p>{P2}</p></body>", f"{P1}\n\n{P2}"),
+    "link without an end": (f"<body><p>{P1} <a href=1>more<p>{P2}</p></body>", f"{P1} more\n\n{P2}"),
+    "page in a form": (
+        f"<body><form id=aspnetForm><input name=q><nav><a href=/>Home</a></nav><p>{P1}</p><div class=ad>{P2}</div><p>{P2}</p></form></body>",
+        f"{P1}\n\n{P2}",
+    ),
+    "page in a named wrapper": (f"<body><div id=content-widget><h2>Head</h2><p>{P1}</p><p>{P2}</p></div><footer>{P1}</footer></body>", f"Head\n\n{P1}\n\n{P2}"),
+    "comments alone": (f"<body><nav>a</nav><div id=comments><p>{P1}</p><p>{P2}</p></div></body>", ""),
+    "items and cells without ends": (
+        f"<article><ul><li class=ad>{P2}<li>{P1}</ul><table><tr><td class=promo>{P2}<td>{P1}<tr><td>{P2}</table></article>",
+        f"{P1}\n\n{P1}\n\n{P2}",
+    ),
     "comment markup": (f"<article><!-- <p>no</p> --><p>{P1}</p></article>", P1),
 }
 

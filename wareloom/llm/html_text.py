@@ -4,7 +4,10 @@ A page is cut into blocks at block-level elements. First pass: stop-word
 density, length and link density decide a block good or bad; what stands in a
 menu, header, footer, sidebar, notice, advert, form or reader comment is bad.
 Second pass: the ambiguous blocks, mostly short ones, take the label of the
-nearest decided block of the same container.
+nearest decided block of the same container. Omitted end tags end where the next
+element implies it. If nothing is left of a page, forms and named wrappers that hold
+most of its prose (a page that is one form) no longer count as bad, those of reader
+comments still do.
 
 Null, empty and tag-only pages give an empty text. Pages are independent: ties
 and repeated rows give equal results. Extra columns are not read.
@@ -50,7 +53,18 @@ BOILERPLATE_NAMES = frozenset(
     sharing social related recommended recommendations widget widgets pagination pager copyright legal disclaimer
     search form tags skip""".split()
 )
+COMMENT_NAMES = frozenset("comment comments disqus reply replies respond discussion".split())
 CONTAINERS = frozenset(["article", "main"])
+HEAD_ONLY = frozenset("title style script noscript template meta link base".split())
+#: Elements that a start tag ends, and elements it does not look beyond.
+ENDS = {
+    "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
+    "dt": (frozenset(["dt", "dd"]), frozenset(["dl"])),
+    "dd": (frozenset(["dt", "dd"]), frozenset(["dl"])),
+    "td": (frozenset(["td", "th"]), frozenset(["tr", "table"])),
+    "th": (frozenset(["td", "th"]), frozenset(["tr", "table"])),
+    "tr": (frozenset(["tr", "td", "th"]), frozenset(["table"])),
+}
 
 LONG = 70
 STOP_DENSITY = 0.15
@@ -67,10 +81,13 @@ def name_words(value: str) -> set[str]:
 
 
 class Block:
-    __slots__ = ("boilerplate", "container", "heading", "linked", "parts", "text")
+    """``marks`` are the forms and named wrappers around a block, ``hard`` whether something else makes it boilerplate."""
 
-    def __init__(self, boilerplate: bool, container: int, heading: bool):
-        self.boilerplate, self.container, self.heading = boilerplate, container, heading
+    __slots__ = ("boilerplate", "container", "hard", "heading", "linked", "marks", "parts", "text")
+
+    def __init__(self, hard: bool, marks: tuple[int, ...], container: int, heading: bool):
+        self.hard, self.marks, self.container, self.heading = hard, marks, container, heading
+        self.boilerplate = hard or bool(marks)
         self.parts: list[str] = []
         self.linked = 0
         self.text = ""
@@ -82,13 +99,14 @@ class BlockReader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.stack: list[tuple[str, bool, bool, int]] = []  # tag, skipped, boilerplate, container
+        # Tag, skipped, hard, marks, container, link.
+        self.stack: list[tuple[str, bool, bool, tuple[int, ...], int, bool]] = []
         self.block: Block | None = None
-        self.links = 0
         self.containers: dict[int, str] = {0: ""}
+        self.lasting: list[bool] = []  # per mark, whether it stays in any case
 
-    def state(self) -> tuple[bool, bool, int]:
-        return self.stack[-1][1:] if self.stack else (False, False, 0)
+    def state(self) -> tuple[bool, bool, tuple[int, ...], int, bool]:
+        return self.stack[-1][1:] if self.stack else (False, False, (), 0, False)
 
     def flush(self) -> None:
         if self.block is not None:
@@ -98,36 +116,60 @@ class BlockReader(HTMLParser):
                 self.blocks.append(self.block)
         self.block = None
 
-    def boilerplate(self, tag: str, attrs: dict, container: int) -> bool:
-        if tag in BOILERPLATE_TAGS or (tag == "header" and not container):
-            return True
-        if attrs.get("role", "").lower() in BOILERPLATE_ROLES or attrs.get("aria-hidden") == "true" or "hidden" in attrs:
+    def hard(self, tag: str, attrs: dict, container: int) -> bool:
+        if tag in BOILERPLATE_TAGS and tag != "form" or (tag == "header" and not container):
             return True
+        return attrs.get("role", "").lower() in BOILERPLATE_ROLES or attrs.get("aria-hidden") == "true" or "hidden" in attrs
+
+    def mark(self, tag: str, attrs: dict, container: int) -> int | None:
+        """Number of a new mark if the element is a form or its names tell it is not the article."""
+        names = BOILERPLATE_NAMES & name_words(f"{attrs.get('class', '')} {attrs.get('id', '')}")
         if tag in ("html", "body", "a") or tag in CONTAINERS and container == 0 and "comment" not in attrs.get("class", ""):
-            return False
-        return bool(BOILERPLATE_NAMES & name_words(f"{attrs.get('class', '')} {attrs.get('id', '')}"))
+            names = frozenset()
+        if tag != "form" and not names:
+            return None
+        self.lasting.append(bool(names & COMMENT_NAMES))
+        return len(self.lasting) - 1
+
+    def end_implied(self, tag: str) -> None:
+        """Pop what a start tag ends without an end tag."""
+        if tag not in HEAD_ONLY and tag != "head" and any(e[0] == "head" for e in self.stack):
+            del self.stack[next(k for k, e in enumerate(self.stack) if e[0] == "head") :]
+        if tag == "a":
+            self.pop_to("a", lambda name: name in BLOCKS)
+        if tag in BLOCKS:
+            self.pop_to("p", lambda name: name in BLOCKS)
+        for name in ENDS.get(tag, ((), ()))[0]:
+            self.pop_to(name, lambda other: other in ENDS[tag][1])
+
+    def pop_to(self, name: str, stops) -> None:
+        for k in range(len(self.stack) - 1, -1, -1):
+            if self.stack[k][0] == name:
+                del self.stack[k:]
+                return
+            if stops(self.stack[k][0]):
+                return
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
             self.flush()
-            if self.stack and self.stack[-1][0] == "p":
-                self.stack.pop()
-        if tag == "a":
-            self.links += 1
+        self.end_implied(tag)
         if tag in VOID:
             self.data(" ")
             return
-        if tag not in BLOCKS and tag not in SKIPPED and tag not in ("span", "section"):
-            if tag != "a":
-                return
+        if tag not in BLOCKS and tag not in SKIPPED and tag not in ("span", "section", "a"):
+            return
         attrs = {k: v or "" for k, v in attrs}
-        skipped, boilerplate, container = self.state()
+        skipped, hard, marks, container, link = self.state()
         skipped = skipped or tag in SKIPPED
-        boilerplate = boilerplate or self.boilerplate(tag, attrs, container)
-        if (tag in CONTAINERS or attrs.get("role") == "main") and not boilerplate:
+        hard = hard or self.hard(tag, attrs, container)
+        if not hard and (mark := self.mark(tag, attrs, container)) is not None:
+            marks = (*marks, mark)
+        if (tag in CONTAINERS or attrs.get("role") == "main") and not hard and not marks:
             container = len(self.containers)
             self.containers[container] = "article" if tag == "article" else "main"
-        self.stack.append((tag, skipped, boilerplate, container))
+        # An anchor that leads nowhere is no link.
+        self.stack.append((tag, skipped, hard, marks, container, link or tag == "a" and "href" in attrs))
 
     def handle_startendtag(self, tag, attrs):
         if tag in BLOCKS:
@@ -138,8 +180,6 @@ class BlockReader(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self.flush()
-        if tag == "a":
-            self.links = max(0, self.links - 1)
         for k in range(len(self.stack) - 1, -1, -1):
             if self.stack[k][0] == tag:
                 del self.stack[k:]
@@ -152,21 +192,26 @@ class BlockReader(HTMLParser):
             self.data(data)
 
     def data(self, data: str) -> None:
-        skipped, boilerplate, container = self.state()
+        skipped, hard, marks, container, link = self.state()
         if skipped:
             return
-        if self.block is not None and self.block.boilerplate != boilerplate:
+        if self.block is not None and self.block.boilerplate != (hard or bool(marks)):
             self.flush()
         if self.block is None:
             if not data.strip():
                 return
             heading = any(e[0] in HEADINGS for e in self.stack[-3:])
-            self.block = Block(boilerplate, container, heading)
+            self.block = Block(hard, marks, container, heading)
         self.block.parts.append(data)
-        if self.links:
+        if link:
             self.block.linked += len("".join(data.split()))
 
 
+def stop_density(text: str) -> float:
+    found = re.findall(r"[^\W\d_]+", text.lower())
+    return sum(w in STOP_WORDS for w in found) / max(1, len(found))
+
+
 def first_pass(block: Block, inside: bool) -> int:
     """Good, bad or open by the block's own text and place."""
     if block.boilerplate:
@@ -176,8 +221,7 @@ def first_pass(block: Block, inside: bool) -> int:
         return BAD
     if len(block.text) < LONG:
         return OPEN
-    found = re.findall(r"[^\W\d_]+", block.text.lower())
-    density = sum(w in STOP_WORDS for w in found) / max(1, len(found))
+    density = stop_density(block.text)
     if density >= STOP_DENSITY:
         return GOOD
     return BAD if density < LOW_STOP_DENSITY and not inside else OPEN
@@ -222,6 +266,13 @@ def main_text(html: str | None) -> str:
     reader.feed(html)
     reader.close()
     reader.flush()
+    text = chosen_text(reader)
+    if not text and lift_marks(reader):
+        text = chosen_text(reader)
+    return text
+
+
+def chosen_text(reader: BlockReader) -> str:
     kinds = reader.containers
     for kind in ("article", "main", ""):
         chosen = [b for b in reader.blocks if kind in ("", kinds[b.container]) and not b.boilerplate]
@@ -233,6 +284,20 @@ def main_text(html: str | None) -> str:
     return "\n\n".join(b.text for b, label in zip(blocks, labels) if label == GOOD)
 
 
+def lift_marks(reader: BlockReader) -> bool:
+    """Take the marks away that hold more than half of the page's prose; whether there were any."""
+    prose = [b for b in reader.blocks if not b.hard and len(b.text) >= LONG and stop_density(b.text) >= STOP_DENSITY]
+    held = [0] * len(reader.lasting)
+    for b in prose:
+        for mark in b.marks:
+            held[mark] += len(b.text)
+    half = sum(len(b.text) for b in prose) / 2
+    lifted = {k for k, n in enumerate(held) if n > half and not reader.lasting[k]}
+    for b in reader.blocks:
+        b.boilerplate = b.hard or any(m not in lifted for m in b.marks)
+    return bool(lifted)
+
+
 def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     """``page_id, url, text`` for every page."""
     columns = pages.select("page_id", "url", F.col(html).alias("html"))
