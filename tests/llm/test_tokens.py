@@ -37,9 +37,7 @@ def test_counts_are_stitched_over_blocks(frame, vocabulary, monkeypatch, block):
     monkeypatch.setattr(separator_scan, "BLOCKS_PER_GROUP", 3)
     texts = [t[:400] if t else t for t in WEIRD]
     docs = frame(texts, extra=("file", "n")).repartition(3)
-    blocks = separator_scan.token_blocks(docs, vocabulary, END, block_tokens=block)
-    rows = separator_scan.count_tokens(separator_scan.write_blocks(blocks), END).collect()
-    assert all(r.closed for r in rows)
+    rows = separator_scan.count_documents(docs, vocabulary, END, block_tokens=block).collect()
     want = {i: len(x) for i, x in enumerate(true_ids(vocabulary, texts))}
     assert {r.doc_id: r.n_tokens for r in rows} == want and len(rows) == len(texts)
     by_file = defaultdict(list)
@@ -70,9 +68,32 @@ def test_flat_files_and_an_unclosed_rest(spark, tmp_path):
     assert [r.closed for r in rows if not r.closed] == [False]
 
 
+def test_a_file_is_read_in_ranges_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(separator_scan, "RUN_BYTES", 1000)
+    monkeypatch.setattr(separator_scan, "TASK_BYTES", 1000)
+    rng = random.Random(2)
+    sizes = [rng.randrange(0, 90) for _ in range(400)]
+    stream = np.array([t for n in sizes for t in [*[5] * n, END]], "<u4")
+    (tmp_path / "with blank").mkdir()
+    stream.tofile(tmp_path / "with blank" / "one.bin")
+    blocks = separator_scan.file_blocks(spark, str(tmp_path / "with blank"), 4, 64)
+    placed = blocks.select("block", "tokens", F.spark_partition_id().alias("task")).collect()
+    assert len({r.task for r in placed}) > 8 and max(len(r.tokens) for r in placed) == 256
+    assert b"".join(bytes(r.tokens) for r in sorted(placed, key=lambda r: r.block)) == stream.tobytes()
+    rows = sorted(separator_scan.count_tokens(blocks, END, 4).collect(), key=lambda r: r.ordinal)
+    assert [r.n_tokens for r in rows] == sizes
+
+
+def test_files_of_lost_attempts_are_not_counted(frame, vocabulary, tmp_path):
+    folder = f"file://{tmp_path}/files"
+    names = separator_scan.write_files(frame(["a b", "c"]).repartition(1), vocabulary, END, folder)
+    np.array([1, 2, END], "<u2").tofile(tmp_path / "files" / "000000-999.bin")
+    files = {r.file for r in names.select("file").collect()}
+    assert len(files) == 1 and "000000-999.bin" not in files
+
+
 def test_no_documents(frame, vocabulary):
-    blocks = separator_scan.token_blocks(frame([]), vocabulary, END)
-    assert separator_scan.count_tokens(separator_scan.write_blocks(blocks), END).count() == 0
+    assert separator_scan.count_documents(frame([]), vocabulary, END).count() == 0
     assert packing.pack_documents(frame([]), vocabulary).count() == 0
 
 

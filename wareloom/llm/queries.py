@@ -29,9 +29,7 @@ SHARDS = 24
 
 def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    blocks = separator_scan.token_blocks(docs, packing.vocabulary_path(), END_OF_TEXT)
-    counted = separator_scan.count_tokens(separator_scan.write_blocks(blocks), END_OF_TEXT)
-    return counted.where("closed").select("doc_id", "file", "ordinal", "start", "n_tokens")
+    return separator_scan.count_documents(docs, packing.vocabulary_path(), END_OF_TEXT)
 
 
 def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
