@@ -61,7 +61,7 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str, width
         name = f"{task.partitionId():06d}-{task.taskAttemptId()}.bin"
         out, ordinal = None, 0
         for whole in batches:
-            for batch in text_batches(whole, 1):
+            for batch in text_batches(whole, 1, 3_000_000):
                 if out is None:
                     where, root = file_system(folder)
                     out = where.open_output_stream(f"{root}/{name}")
