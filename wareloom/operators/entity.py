@@ -62,33 +62,37 @@ def _numbers(df: DataFrame, key: str) -> DataFrame:
 def _slots(df: DataFrame, key: str, modal: dict[str, str], nulls: str, with_numbers: bool) -> DataFrame:
     """(key, slot, value, n, first_row, sums): counted cells of the modal columns, and of the numbers.
 
-    Every row becomes one cell per modal column and one cell for its numbers,
-    which are counted together: the input is read and joined once. Grouping by
-    value spreads a hot key over its values; the numbers of a row are part of the
-    grouping in their cell, so that the first row needs no ordered buffer.
+    Equal rows of a key are counted before the fan-out. Then every distinct row
+    becomes one cell per modal column and one cell for its numbers, which are
+    counted together: the input is read and joined once. Grouping by value spreads
+    a hot key over its values; the numbers of a row are part of the grouping in
+    their cell, so that the first row needs no ordered buffer.
     """
     if nulls not in ("count", "ignore"):
         raise ValueError(f"nulls must be 'count' or 'ignore', not {nulls!r}")
     order = [*FIRST_COLUMNS, "price"] if with_numbers else []
     sums = SUM_COLUMNS if with_numbers else {}
     kind = {f.name: f.dataType for f in df.schema.fields}
+    rows = df.groupBy(*dict.fromkeys([key, *modal, *order])).agg(
+        F.count("*").alias("_n"), *[F.sum(c).alias(f"_sum_{out}") for c, out in sums.items()]
+    )
 
     def cell(slot: int, value: Column, filled: bool) -> Column:
         return F.struct(
             F.lit(slot).alias("slot"),
             value.alias("value"),
             *[(F.col(c) if filled else F.lit(None).cast(kind[c])).alias(f"first_{c}") for c in order],
-            *[(F.col(c) if filled else F.lit(None).cast(kind[c])).alias(f"part_{c}") for c in sums],
+            *[(F.col(f"_sum_{out}") if filled else F.lit(None).cast(kind[c])).alias(f"part_{c}") for c, out in sums.items()],
         )
 
     cells = [cell(i, F.col(c).cast("string"), False) for i, c in enumerate(modal)]
     if with_numbers:
         cells.append(cell(NUMBERS_SLOT, F.lit(None).cast("string"), True))
-    long = df.select(F.col(key), F.inline(F.array(*cells)))
+    long = rows.select(F.col(key), "_n", F.inline(F.array(*cells)))
     if nulls == "ignore":
         long = long.where(F.col("value").isNotNull() | (F.col("slot") == NUMBERS_SLOT))
     counted = long.groupBy(key, "slot", "value", *[f"first_{c}" for c in order]).agg(
-        F.count("*").alias("n"), *[F.sum(f"part_{c}").alias(f"sum_{out}") for c, out in sums.items()]
+        F.sum("_n").alias("n"), *[F.sum(f"part_{c}").alias(f"sum_{out}") for c, out in sums.items()]
     )
     if not with_numbers:
         return counted
@@ -97,10 +101,16 @@ def _slots(df: DataFrame, key: str, modal: dict[str, str], nulls: str, with_numb
 
 
 def _per_key(slots: DataFrame, key: str, modal: dict[str, str]) -> DataFrame:
-    return slots.groupBy(key).agg(
-        *[pick_mode(i).alias(f"mode_{out}") for i, out in enumerate(modal.values())],
+    """One row per key: first the best cell of every slot, then the slots of a key side by side."""
+    rank = F.struct((-F.col("n")).alias("n"), F.col("value").isNull().alias("empty"), "value")
+    sums = [f"sum_{out}" for out in SUM_COLUMNS.values()]
+    best = slots.groupBy(key, "slot").agg(
+        F.min(rank).alias("best"), F.min("first_row").alias("first_row"), *[F.sum(c).alias(c) for c in sums]
+    )
+    return best.groupBy(key).agg(
+        *[F.max(F.when(F.col("slot") == i, F.col("best.value"))).alias(f"mode_{out}") for i, out in enumerate(modal.values())],
         F.min("first_row").alias("first_row"),
-        *[F.coalesce(F.sum(f"sum_{out}"), F.lit(0)).alias(f"sum_{out}") for out in SUM_COLUMNS.values()],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
     )
 
 
