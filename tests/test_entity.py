@@ -1,8 +1,10 @@
 from collections import Counter
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
+from wareloom.operators import entity
 from wareloom.operators.counts import rows_with_repeated_key, sample_rows, top_rows, varying_keys, weekday_counts, weekday_hours
 from wareloom.operators.entity import entity_aggregate, group_modes
 from wareloom.operators.skew import hot_keys, salted_join
@@ -67,6 +69,58 @@ def test_grain_counts_each_product_once(spark):
     assert fanout == {1: 4, 2: 5} and once == {1: 2, 2: 5}
 
 
+def mixed_listings(spark, n=4000):
+    """One key holds half of the rows, others a few; nulls, ties and repeated values in every column."""
+    columns = [c for c in MODAL_COLUMNS if c not in ("local_pickup", "free_shipping", "accepts_mercadopago", "automatic_relist")]
+    days = [datetime(2020, 1, 1 + d) for d in range(5)]
+    rows = []
+    for i in range(n):
+        pick = lambda step, values: values[(i * step + i // 7) % len(values)]
+        key = None if i % 101 == 0 else 1 if i % 2 else i % 300
+        times = [pick(s, [None, *days]) for s in (3, 5, 7, 11)]
+        price = pick(13, [None, 2.5, 1.0, float("nan"), -1.0])
+        sums = [pick(s, [None, 1, 2, 3]) for s in (3, 5, 7)]
+        flags = [pick(s, [None, True, False, True]) for s in (3, 5, 7, 9)]
+        texts = [pick(s + 3, [None, "b", "a", "c", "b", "é", ""]) for s in range(len(columns))]
+        rows.append((key, key, price, *sums, *times, *flags, *texts))
+    return spark.createDataFrame(
+        rows,
+        "product_id bigint, seller_id bigint, price double, sold_quantity bigint, initial_quantity bigint, available_quantity bigint, "
+        "last_updated timestamp, date_created timestamp, start_time timestamp, stop_time timestamp, local_pickup boolean, "
+        "free_shipping boolean, accepts_mercadopago boolean, automatic_relist boolean, " + ", ".join(f"{c} string" for c in columns),
+    ).repartition(6)
+
+
+@pytest.mark.parametrize("nulls,grain", [("count", "fanout"), ("ignore", "entity")])
+def test_rows_together_and_spread_cells_agree(spark, monkeypatch, nulls, grain):
+    rows = mixed_listings(spark)
+
+    def found(hot_rows):
+        # Compared as text: not-a-number equals nothing.
+        table = entity_aggregate(rows, "product_id", nulls, grain, keep_helpers=True, ordered=False, hot_rows=hot_rows)
+        return sorted(map(str, table.collect()))
+
+    spread = found(0)
+    assert len(spread) == 152 and found(100) == spread
+    monkeypatch.setattr(entity, "PIECE_ROWS", 10)
+    assert found(10_000) == spread
+
+
+def test_rows_of_common_keys_are_not_exploded(spark):
+    found = entity_aggregate(mixed_listings(spark), "product_id", ordered=False)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert "Generate" not in final and "MapInArrow" in final
+
+
+def test_sums_beyond_64_bits_are_refused(spark):
+    rows = mixed_listings(spark, 40).withColumn("sold_quantity", F.lit(2**62 + 5))
+    with pytest.raises(Exception, match="64 bits"):
+        entity_aggregate(rows, "product_id").collect()
+    assert entity_aggregate(rows.limit(1), "product_id", keep_helpers=True).first().total_quantity == 2**62 + 5
+
+
 def test_repeated_key_keeps_all_copies_of_a_hot_key(spark):
     rows = [(0 if i % 3 == 0 else i, i) for i in range(3000)] + [(None, 1), (None, 2), (5000, 1)]
     df = spark.createDataFrame(rows, "k int, v int").repartition(8)
