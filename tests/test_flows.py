@@ -66,6 +66,18 @@ def test_hot_id_is_a_part_of_its_own_with_the_same_result(spark):
     assert hot.exceptAll(once).count() == 0 and hot.count() == once.count()
 
 
+def test_fitted_stages_apply_without_moving_flat_rows(spark):
+    docs = listing_documents(spark, SF)
+    fitted, table = preprocess(docs)
+    again = preprocessing.apply_fitted(fitted, docs.unionByName(docs.where("id = 'L1'")))
+    assert again.schema == table.schema and again.exceptAll(table).count() == 0 and again.count() == table.count()
+    (whole,) = document_parts(docs)
+    moved = preprocessing.apply_fitted(PipelineModel(fitted.stages[:5]), docs)
+    # The distinct rows are written; before that only documents were shuffled.
+    assert moved.count() == PipelineModel(fitted.stages[:5]).transform(whole).count()
+    assert "Exchange" not in plan_of(moved)
+
+
 def test_unneeded_columns_are_not_written(spark, monkeypatch):
     written = []
     real = preprocessing.materialize
