@@ -3,6 +3,7 @@ import json
 import pytest
 
 from wareloom.operators.flatten import explode_list, flatten_listings, join_text_lists
+from wareloom.sources import listings as S
 from wareloom.sources.listings import as_frame, read_listings
 
 
@@ -73,3 +74,14 @@ def test_malformed_line_fails(spark, tmp_path):
     path.write_text(json.dumps({"id": "L1"}) + "\n{broken\n", encoding="utf-8")
     with pytest.raises(Exception):
         read_listings(spark, str(path)).collect()
+
+
+def test_lines_are_written_packed_and_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "LINES_PER_FILE", 200)
+    texts = [json.dumps({"id": f"L{i}", "title": f"Lot {i}", "condition": "new"}) for i in range(500)]
+    lines = spark.createDataFrame([(t,) for t in texts], "line string").repartition(1)
+    path = S.write_lines(lines, str(tmp_path / "lines"))
+    files = list((tmp_path / "lines").glob("part-*"))
+    assert len(files) == 3 and sum(f.stat().st_size for f in files) < sum(map(len, texts)) / 3
+    read = read_listings(spark, path).select("id", "title", "condition").collect()
+    assert sorted((r.id, r.title, r.condition) for r in read) == sorted((f"L{i}", f"Lot {i}", "new") for i in range(500))

@@ -42,6 +42,16 @@ def write_listings(df: DataFrame, path: str) -> str:
     return path
 
 
+#: Packed files cannot be split: about 130 MB of listings each, so that many tasks read them.
+LINES_PER_FILE = 100_000
+
+
+def write_lines(lines: DataFrame, path: str) -> str:
+    """Documents already held as text in the only column, packed: their names take more room than their values."""
+    lines.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", LINES_PER_FILE).text(path)
+    return path
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
