@@ -12,7 +12,7 @@ from wareloom.operators.entity import entity_aggregate
 from wareloom.plans import preprocessing
 from wareloom.plans.business import condition_shares
 from wareloom.plans.driver_tables import listing_documents, listing_rows
-from wareloom.plans.preprocessing import document_parts, preprocess, preprocessing_stages
+from wareloom.plans.preprocessing import document_parts, preprocess, preprocessing_stages, times_first
 from wareloom.sources.listings import write_listings
 from wareloom.streaming.apply import apply_stages, read_listing_stream, row_stages
 
@@ -128,3 +128,22 @@ def test_row_stages_run_on_a_stream(spark, tmp_path):
     assert spark.table("cleaned").count() == batch.count()
     with pytest.raises(ValueError):
         apply_stages(docs, [DistinctRows()])
+
+
+def test_times_are_parsed_before_lists_multiply_the_rows(spark):
+    rows = [
+        ("A", ["x", "y"], ' "2015-01-02T03:04:05.678Z"', 1420000000000, "2015-01-02 03:04:05", "2015-09-10 11:12:13"),
+        ("A", [], "1420000000000", None, "open end", None),
+        (None, None, None, 7, None, "7"),
+    ]
+    docs = spark.createDataFrame(rows, "id string, tags array<string>, date_created string, last_update_time long, stop_time string, ` Start Time` string")
+    docs = docs.withColumn("pictures", F.transform("tags", lambda t: F.struct(t.alias("id"), F.lit("2015-01-02T03:04:05.6Z").alias("date"))))
+    stages = preprocessing_stages()[:3]
+    early = times_first(stages, docs)
+    kinds = dict(early.dtypes)
+    assert [kinds[c] for c in ("date_created", "last_update_time", "stop_time", " Start Time")] == ["timestamp_ntz"] * 3 + ["string"]
+    assert early.columns == docs.columns and times_first(preprocessing_stages()[3:], docs) is docs
+    late, flat = (PipelineModel(stages).transform(df) for df in (docs, early))
+    assert flat.schema == late.schema and dict(flat.dtypes)["pic_date"] == "timestamp_ntz"
+    found = [sorted(map(str, df.collect())) for df in (late, flat)]
+    assert found[0] == found[1] and len(found[0]) == 4
